@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("series",)
+MODULES = ("series", "segment")
 
 
 def load_all():

@@ -1,7 +1,8 @@
 """Exact percentiles of groups of any size.
 
-``percentile`` holds every distinct value of a group in one task. Here a sketch
-of bounded size only proposes cut points; equal values are counted before the
+``percentile`` holds every distinct value of a group in one task, so it is used
+only after the largest group has been counted and is small. Beyond that a sketch
+of bounded size proposes cut points; equal values are counted before the
 shuffle, the counts per bucket locate the bucket of the wanted rank, and just
 that bucket is ordered. The cut points affect how much is ordered, never the
 result, which is linear interpolation between the two neighbouring ranks.
@@ -14,12 +15,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Largest group, in rows, whose values one task may hold.
+IN_MEMORY_ROWS = 200_000
 MARGIN = 0.01
 SKETCH_ACCURACY = 2000
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: Column | str, probs: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: Column | str, probs: Mapping[str, float], in_memory_rows: int | None = None
 ) -> DataFrame:
     """One row per key with a column per requested percentile and ``n``.
 
@@ -28,7 +31,13 @@ def exact_percentiles(
     value = F.col(value) if isinstance(value, str) else value
     keys = list(keys)
     data = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    return _select_ranks(data, keys, probs)
+    limit = IN_MEMORY_ROWS if in_memory_rows is None else in_memory_rows
+    largest = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if largest is not None and largest > limit:
+        return _select_ranks(data, keys, probs)
+    return data.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probs.items()]
+    )
 
 
 def _select_ranks(data: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
