@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("series", "segment")
+MODULES = ("series", "segment", "metrics")
 
 
 def load_all():

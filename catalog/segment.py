@@ -259,7 +259,7 @@ h AS (SELECT {K}, event_id, min(distance_m) AS d FROM grid g JOIN w {US} WHERE b
 SELECT {K}, event_id, {_DEV} AS brake_dev_m FROM (SELECT {K}, event_id, d - brake_on_m AS x, lap_length_m AS len FROM lapn JOIN w {US} LEFT JOIN h USING ({K}, event_id))"""
 CTES["cm"] = f"""
 SELECT q.*, g.source_gap_m AS brake_gap_m FROM (
- SELECT {K}, event_id, corners, marginal, v_min_kmh, ((apex_m + apex_dev_m) % lap_length_m + lap_length_m) % lap_length_m AS v_min_m, apex_dev_m,
+ SELECT {K}, event_id, corners, marginal, apexes.v_min_kmh, ((apex_m + apex_dev_m) % lap_length_m + lap_length_m) % lap_length_m AS v_min_m, apex_dev_m,
   ((e.brake_on_m + brake_dev_m) % lap_length_m + lap_length_m) % lap_length_m AS brake_on_m, brake_dev_m
  FROM apexes JOIN good_evs e USING ({KS}, event_id) JOIN good_lens {US} LEFT JOIN brakes USING ({K}, event_id)) q
 LEFT JOIN grid g ON {' AND '.join(f'g.{k} = q.{k}' for k in LAP)} AND g.grid_index = CAST(round_even(q.brake_on_m / 10.0, 0) AS BIGINT)"""
