@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("series", "segment", "metrics")
+MODULES = ("series", "segment", "metrics", "spatial", "validation")
 
 
 def load_all():

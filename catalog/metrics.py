@@ -19,19 +19,19 @@ CTES["cross_sum"] = f"""
 SELECT {KS}, boundary, count(*) AS n_laps, any_value(med) AS median_m, quantile_cont(abs(distance_m - med), 0.95) AS p95_dev_m, max(abs(distance_m - med)) AS max_dev_m, stddev_pop(distance_m) AS std_m
 FROM crossings_sql JOIN (SELECT {KS}, boundary, median(distance_m) AS med FROM crossings_sql GROUP BY ALL) USING ({KS}, boundary) GROUP BY ALL"""
 CTES["bnds"] = f"SELECT {KS}, max(median_m) FILTER (WHERE boundary = 'S1') AS s1_m, max(median_m) FILTER (WHERE boundary = 'S2') AS s2_m FROM cross_sum GROUP BY ALL"
-CTES["st"] = f"""
+CTES["sect_t"] = f"""
 SELECT b.*, e.t_s - s.t_s AS time_s FROM (
  SELECT {K}, grain, microsector_id, start_index, end_index, least(end_index, n_points - 1) AS ei, end_index > n_points - 1 AS partial, end_m - start_m AS length_m FROM lapn JOIN msec {US}) b
 LEFT JOIN curves s ON {' AND '.join(f's.{k} = b.{k}' for k in LAP)} AND s.grid_index = b.start_index
 LEFT JOIN curves e ON {' AND '.join(f'e.{k} = b.{k}' for k in LAP)} AND e.grid_index = b.ei"""
 CTES["mt"] = f"""
-SELECT t.season, t.round, t.session_code, t.driver, t.lap_number, t.grain, t.microsector_id, t.time_s, t.partial, t.length_m, t.time_s - r.time_s AS delta_s FROM st t JOIN refmap m {U}
-LEFT JOIN st r ON r.season = t.season AND r.round = t.round AND r.session_code = t.session_code AND r.driver = m.ref_driver AND r.lap_number = m.ref_lap AND r.grain = t.grain AND r.microsector_id = t.microsector_id"""
-CTES["done"] = "SELECT * FROM mt WHERE time_s IS NOT NULL AND NOT partial"
+SELECT t.season, t.round, t.session_code, t.driver, t.lap_number, t.grain, t.microsector_id, t.time_s, t.partial, t.length_m, t.time_s - r.time_s AS delta_s FROM sect_t t JOIN refmap m {U}
+LEFT JOIN sect_t r ON r.season = t.season AND r.round = t.round AND r.session_code = t.session_code AND r.driver = m.ref_driver AND r.lap_number = m.ref_lap AND r.grain = t.grain AND r.microsector_id = t.microsector_id"""
+CTES["full_mt"] = "SELECT * FROM mt WHERE time_s IS NOT NULL AND NOT partial"
 CTES["msum"] = f"""
 SELECT m.season, m.round, m.session_code, m.grain, m.microsector_id, m.phase, m.event_id, m.corners, m.end_m - m.start_m AS length_m, coalesce(n_laps, 0) AS n_laps, mean_s, std_s, min_s, p10_s, within_driver_std_s, ref_s FROM msec m
-LEFT JOIN (SELECT {KS}, grain, microsector_id, count(*) AS n_laps, avg(time_s) AS mean_s, stddev_samp(time_s) AS std_s, min(time_s) AS min_s, quantile_cont(time_s, 0.1) AS p10_s FROM done GROUP BY ALL) USING ({KS}, grain, microsector_id)
-LEFT JOIN (SELECT {KS}, grain, microsector_id, median(sd) AS within_driver_std_s FROM (SELECT {KS}, grain, microsector_id, driver, stddev_samp(time_s) AS sd FROM done GROUP BY ALL HAVING count(*) >= 2) GROUP BY ALL) USING ({KS}, grain, microsector_id)
+LEFT JOIN (SELECT {KS}, grain, microsector_id, count(*) AS n_laps, avg(time_s) AS mean_s, stddev_samp(time_s) AS std_s, min(time_s) AS min_s, quantile_cont(time_s, 0.1) AS p10_s FROM full_mt GROUP BY ALL) USING ({KS}, grain, microsector_id)
+LEFT JOIN (SELECT {KS}, grain, microsector_id, median(sd) AS within_driver_std_s FROM (SELECT {KS}, grain, microsector_id, driver, stddev_samp(time_s) AS sd FROM full_mt GROUP BY ALL HAVING count(*) >= 2) GROUP BY ALL) USING ({KS}, grain, microsector_id)
 LEFT JOIN (SELECT t.season, t.round, t.session_code, grain, microsector_id, time_s AS ref_s FROM mt t JOIN fastest f ON f.season = t.season AND f.round = t.round AND f.session_code = t.session_code AND ref_driver = driver AND ref_lap = lap_number) USING ({KS}, grain, microsector_id)"""
 CTES["ends_sql"] = f"""
 SELECT {', '.join('n.' + k for k in LAP)}, n.n_points, ce.t_s AS grid_time_s, cc.t_s - rc.t_s AS delta_t_end_s, a.lap_time - ra.lap_time AS official_delta_s,
@@ -113,7 +113,7 @@ def _(b):
     return M.sector_crossing_summary(crossings(b))
 
 
-@query("agg04_sector_times", L + "grain:s microsector_id:i time_s:d partial:b length_m:d", "SELECT * FROM st")
+@query("agg04_sector_times", L + "grain:s microsector_id:i time_s:d partial:b length_m:d", "SELECT * FROM sect_t")
 def _(b):
     return M.sector_times(curves(b), C.sectors(b))
 

@@ -126,3 +126,26 @@ def running(
         *[(F.coalesce(f"_c_{n}", zero) + F.coalesce(f"_l_{n}", zero)).alias(n) for n in sums],
         *[F.greatest(f"_c_{n}", f"_l_{n}").alias(n) for n in maxima],
     )
+
+
+def integrate(df: DataFrame, axis: Axis, cols: Sequence[str], step, name: str) -> DataFrame:
+    """Running sum of ``step(previous, current)`` along the series, zero at its first row.
+
+    ``step`` takes two structs of ``cols``. Steps inside a chunk are summed
+    there; the steps between chunks are taken from the chunks' border rows.
+    """
+    chunked = axis.cut(df)
+    body = F.struct(*[F.col(c) for c in cols])
+    keyed = F.struct(F.col(axis.order).alias("_o"), body.alias("_b"))
+    before = F.lag(body).over(axis.within())
+    local = chunked.withColumn("_p", before).withColumn("_s", F.when(F.col("_p").isNotNull(), step(F.col("_p"), body)))
+    upto = axis.within().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = local.withColumn("_l", F.coalesce(F.sum("_s").over(upto), F.lit(0.0))).drop("_p", "_s")
+    edges = local.groupBy(*axis.chunk_keys).agg(F.sum("_s").alias("_in"), F.min(keyed).alias("_lo"), F.max(keyed).alias("_hi"))
+    edges = edges.withColumn("_ph", F.lag("_hi").over(axis.across())).withColumn("_pi", F.lag("_in").over(axis.across()))
+    jump = F.when(F.col("_ph").isNotNull(), step(F.col("_ph")["_b"], F.col("_lo")["_b"]))
+    edges = edges.withColumn("_j", F.coalesce(jump, F.lit(0.0)) + F.coalesce("_pi", F.lit(0.0)))
+    total = axis.across().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = edges.select(*axis.chunk_keys, F.sum("_j").over(total).alias("_c"))
+    out = placed.join(edges, list(axis.chunk_keys), "left")
+    return out.select(*df.columns, (F.col("_c") + F.col("_l")).alias(name))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackgrid.functions.columns import lerp, positions_to_metres
-from trackgrid.functions.ordered import Axis, brackets, neighbours, running
+from trackgrid.functions.ordered import Axis, brackets, integrate, neighbours, running
 from trackgrid.keys import (
     CONTINUOUS,
     DISCRETE,
@@ -91,12 +91,13 @@ def merge_channels(
 def add_raw_distance(df: DataFrame, axis: Axis = TIME, speed: str = "speed", name: str = "distance_raw") -> DataFrame:
     """Trapezoid integral of speed (km/h) over time (s), zero at the first sample."""
     t = axis.order
-    steps = neighbours(df.withColumn("_v", F.col(speed).cast("double") / KMH_PER_MS), axis, [t, "_v"])
-    gap = F.when(
-        F.col(t) < F.col("prev")[t], F.raise_error(F.lit("session_time decreases within a lap")).cast("double")
-    ).otherwise(0.5 * (F.col("_v") + F.col("prev")["_v"]) * (F.col(t) - F.col("prev")[t]))
-    steps = steps.withColumn("_step", gap).drop("prev", "next", "_v")
-    return running(steps, axis, sums={name: F.col("_step")}).drop("_step")
+    ms = lambda row: row[speed].cast("double") / KMH_PER_MS
+
+    def step(a: Column, b: Column) -> Column:
+        backwards = F.raise_error(F.lit("session_time decreases within a lap")).cast("double")
+        return F.when(b[t] < a[t], backwards).otherwise(0.5 * (ms(a) + ms(b)) * (b[t] - a[t]))
+
+    return integrate(df, axis, [t, speed], step, name)
 
 
 def lap_frames(car: DataFrame, pos: DataFrame, axis: Axis = TIME) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackgrid.functions.columns import clean, lerp, positions_to_metres
-from trackgrid.functions.ordered import Axis, brackets, neighbours, running
+from trackgrid.functions.ordered import Axis, brackets, integrate, neighbours
 from trackgrid.functions.quantiles import exact_median
 from trackgrid.keys import GRID_M, LAP, SESSION
 from trackgrid.operators.metrics import flying_laps
@@ -43,9 +43,7 @@ ARC = Axis(SESSION, "arc_m", 500.0)
 
 def arc_length(path: DataFrame, axis: Axis = VERTEX) -> DataFrame:
     """Cumulative length at each vertex of a polyline."""
-    steps = neighbours(path, axis, ["x", "y"])
-    hop = F.hypot(F.col("x") - F.col("prev")["x"], F.col("y") - F.col("prev")["y"])
-    return running(steps.withColumn("_h", hop).drop("prev", "next"), axis, sums={"arc_m": F.col("_h")}).drop("_h")
+    return integrate(path, axis, ["x", "y"], lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]), "arc_m")
 
 
 def lead_in(path: DataFrame, lead_m: float = LEAD_M, spacing: float = LINE_SPACING_M, axis: Axis = VERTEX) -> DataFrame:
@@ -72,7 +70,8 @@ def reference_line(path: DataFrame, spacing: float = LINE_SPACING_M, lead_m: flo
     size = path.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     long_enough = F.when(F.col("_n") < MIN_PATH_POINTS, F.raise_error(F.lit("too few points for a reference line")).cast("boolean")).otherwise(F.lit(True))
     path = path.join(size.filter(long_enough).select(*keys), keys)
-    whole = arc_length(lead_in(path, lead_m, spacing, axis) if lead_m > 0 else path, axis)
+    # every step below reads its input several times, and each input is one lap per session
+    whole = cut(arc_length(cut(lead_in(path, lead_m, spacing, axis), "path") if lead_m > 0 else path, axis), "path-arc")
     total = whole.groupBy(*keys).agg(F.max("arc_m").alias("_total"))
     total = total.withColumn("_points", F.greatest(F.lit(10), F.rint(F.col("_total") / spacing).cast("int") + 1)).withColumn("_sp", F.col("_total") / (F.col("_points") - 1))
     arc = Axis(axis.keys, "arc_m", 500.0)
@@ -85,7 +84,8 @@ def reference_line(path: DataFrame, spacing: float = LINE_SPACING_M, lead_m: flo
     at = seg.withColumn("vertex", F.explode(F.sequence("_lo", "_hi")))
     target = F.col("vertex") * F.col("_sp")
     read = lambda c: F.when(F.col("next").isNull() | (target <= F.col("arc_m")), F.col(c)).otherwise(lerp(target, F.col("arc_m"), F.col(c), F.col("next")["arc_m"], F.col("next")[c]))
-    line = arc_length(at.select(*keys, "vertex", read("x").alias("x"), read("y").alias("y")), axis)
+    at = cut(at.select(*keys, "vertex", read("x").alias("x"), read("y").alias("y")), "line-points")
+    line = arc_length(at, Axis(axis.keys, "vertex", VERTEX.span))
     return line.withColumn("arc_m", F.col("arc_m") - F.lit(float(max(lead_m, 0.0))))
 
 
@@ -223,8 +223,8 @@ def project_on_segments(nearest_vertex: DataFrame, line: DataFrame, point: Seque
 def project_laps(samples: DataFrame, line: DataFrame, time: str = "session_time", axis: Axis = TIME) -> DataFrame:
     """Distance along the line for every sample: ordered search, projection, monotonic guard, extended ends."""
     where = ordered_nearest(samples, line, time=time)
-    placed = project_on_segments(samples.join(where, [*LAP, time]), line)
-    guarded = enforce_monotonic(placed, axis).drop("corrected")
+    placed = cut(project_on_segments(samples.join(where, [*LAP, time]), line), "projected-raw")
+    guarded = cut(enforce_monotonic(placed, axis).drop("corrected"), "projected-guarded")
     return extend_axis_ends(guarded, line_lengths(line))
 
 
