@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("series", "segment", "metrics", "spatial", "validation")
+MODULES = ("series", "segment", "metrics", "spatial", "validation", "quality")
 
 
 def load_all():

@@ -61,7 +61,7 @@ def wrap_sql(sql: str, spec) -> str:
         "b": "CAST({0} AS BOOLEAN)",
         "d": "CASE WHEN isnan(CAST({0} AS DOUBLE)) THEN NULL ELSE floor(CAST({0} AS DOUBLE) * 1e6 + 0.497::DOUBLE) / 1e6 + 0.0 END",
     }
-    cols = ", ".join(cast[t].format(n) + f" AS {n}" for n, t in spec)
+    cols = ", ".join(cast[t].format(f'"{n}"') + f' AS "{n}"' for n, t in spec)
     return f"WITH {with_ctes(sql)} result AS ({sql}) SELECT {cols} FROM result"
 
 
