@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("series", "segment", "metrics", "spatial", "validation", "quality")
+MODULES = ("series", "segment", "metrics", "spatial", "validation", "quality", "pairs", "warehouse")
 
 
 def load_all():
