@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("series", "segment", "metrics", "spatial", "validation", "quality", "pairs", "warehouse")
+MODULES = ("series", "segment", "metrics", "spatial", "validation", "quality", "pairs", "warehouse", "sources", "filters")
 
 
 def load_all():

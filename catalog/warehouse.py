@@ -151,7 +151,13 @@ def _(b):
 _CIRC = "['suzuka', 'bahrain', 'albert_park', 'catalunya', 'marina_bay', 'yas_marina', 'losail', 'red_bull_ring', 'sochi', 'nowhere']"
 
 
-@query("flt06_resolve_layout", "session_key:i season:i circuit_id:s layout_id:s length_m:d resolved:b")
+_LAY = "VALUES " + ", ".join(f"('{l}', '{c}', {m}, {a}, {'NULL' if z == '-' else z})" for l, c, m, a, z in (line.split() for line in Y.LAYOUTS.strip().splitlines()))
+
+
+@query("flt06_resolve_layout", "session_key:i season:i circuit_id:s layout_id:s length_m:d resolved:b", f"""
+WITH lay(l, c, m, a, z) AS ({_LAY}), s AS (SELECT o_orderkey AS session_key, year(o_orderdate) + 24 AS season, {_CIRC}[o_custkey % 10 + 1] AS circuit_id, o_orderkey % 2 = 0 AS sakhir FROM orders),
+j AS (SELECT s.*, count(l) AS n, max(l) AS l, max(m) AS m FROM s LEFT JOIN lay ON c = circuit_id AND a <= season AND (z IS NULL OR season <= z) GROUP BY ALL)
+SELECT session_key, season, circuit_id, CASE WHEN season = 2020 AND sakhir THEN 'bahrain_outer' WHEN n = 1 THEN l END AS layout_id, CASE WHEN season = 2020 AND sakhir THEN 3543 WHEN n = 1 THEN m END AS length_m, (season = 2020 AND sakhir) OR n = 1 AS resolved FROM j""")
 def _(b):
     names = F.array(*[F.lit(c) for c in ("suzuka", "bahrain", "albert_park", "catalunya", "marina_bay", "yas_marina", "losail", "red_bull_ring", "sochi", "nowhere")])
     o = b.table("orders").select(
@@ -383,7 +389,7 @@ def _(b):
     return _loaded(b)
 
 
-@query("snk05_replace_dimension", SS + "rows:i", f"SELECT {KS}, count(*) - CASE WHEN round = 1 THEN 1 ELSE 0 END AS rows FROM good_evs GROUP BY ALL")
+@query("snk05_replace_dimension", SS + "rows:i", f"SELECT {KS}, count(*) - CASE WHEN round = 1 THEN 1 ELSE 0 END AS rows FROM good_evs GROUP BY season, round, session_code")
 def _(b):
     root = _root(b, "snk05")
     tables.write_sessions(C.events(b), root)

@@ -236,13 +236,9 @@ def misprojected(samples: DataFrame, limit: float = MAX_PROJECTION_OFFSET_M, key
 
 def first_laps(samples: DataFrame, n: int = FRAME_FIT_LAPS) -> DataFrame:
     """The samples of each session's first n laps in key order."""
-    lowest = samples.select(*LAP).distinct()
-    # n lowest keys per session without ordering a whole session: a bounded sorted buffer
-    top = lowest.groupBy(*SESSION, F.pmod(F.xxhash64("driver", "lap_number"), F.lit(64)).alias("_s")).agg(
-        F.slice(F.array_sort(F.collect_set(F.struct("driver", "lap_number"))), 1, n).alias("_a")
-    )
-    picked = top.groupBy(*SESSION).agg(F.slice(F.array_sort(F.flatten(F.collect_list("_a"))), 1, n).alias("_a"))
-    chosen = picked.select(*SESSION, F.explode("_a").alias("_k")).select(*SESSION, "_k.*")
+    # the limit on the rank lets Spark drop the other laps before they are shuffled
+    order = Window.partitionBy(*SESSION).orderBy("driver", "lap_number")
+    chosen = samples.select(*LAP).distinct().withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
     return samples.join(chosen, list(LAP), "left_semi")
 
 
