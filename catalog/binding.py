@@ -48,7 +48,7 @@ class Binding:
         base = e.select(
             "event_id", "user_id", "event_type", "value",
             F.get_json_object("props", "$.k").cast("int").alias("k"),
-            us.alias("us"), lap.cast("int").alias("lap_number"),
+            us.alias("us"), lap.cast("int").alias("lap_number"), F.year("ts").alias("season"),
         )
         u = (F.col("us") - (F.col("lap_number") - 1) * F.lit(LAP_US)) / F.lit(864000000000.0)
         a = ((F.col("user_id") % 7) - 3) / F.lit(10.0)
@@ -57,7 +57,7 @@ class Binding:
         radius = F.lit(RADIUS) + (F.col("k") - 50) / F.lit(25.0)
         theta = F.col("d") * F.lit(0.0031415926535897933)
         return base.withColumn("m", m).select(
-            F.lit(2024).alias("season"),
+            "season",
             (F.col("user_id") % 5 + 1).cast("int").alias("round"),
             F.when(F.floor(F.col("user_id") / 5) % 2 == 0, "Q").otherwise("R").alias("session_code"),
             F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("driver"),
@@ -116,12 +116,12 @@ _TELE = f"""
     SELECT *, 2000.0 * (u + ((user_id % 7) - 3) / 10.0 * u * (1.0 - u)) AS d FROM (
       SELECT *, (us - (lap_number - 1) * {LAP_US}) / 864000000000.0 AS u FROM (
         SELECT event_id, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-          epoch_us(ts) - {EPOCH_US} AS us, (day(ts) - 1) // 10 + 1 AS lap_number FROM events)))
+          epoch_us(ts) - {EPOCH_US} AS us, year(ts) AS season, (day(ts) - 1) // 10 + 1 AS lap_number FROM events)))
 """
 
 CTES: dict[str, str] = {
     "tele": f"""
-SELECT 2024 AS season, user_id % 5 + 1 AS round, CASE WHEN (user_id // 5) % 2 = 0 THEN 'Q' ELSE 'R' END AS session_code,
+SELECT season, user_id % 5 + 1 AS round, CASE WHEN (user_id // 5) % 2 = 0 THEN 'Q' ELSE 'R' END AS session_code,
   'U' || user_id AS driver, lap_number, us / 2e10 AS session_time, d AS distance_aligned,
   90.0 + 140.0 * (abs(m - 200.0) / 200.0) + value * 0.1::DOUBLE AS speed,
   CASE WHEN m >= 40.0 AND m < 200.0 THEN 20.0::DOUBLE + k * 0.3::DOUBLE ELSE 100.0::DOUBLE END AS throttle,

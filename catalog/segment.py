@@ -77,7 +77,7 @@ SELECT * FROM (
  UNION ALL SELECT {KS}, event_id, corners, marginal, lap_length_m, 'exit', u_apex_end_m, u_exit_end_m FROM b) WHERE e > s"""
 CTES["pieces"] = f"""
 SELECT * FROM (SELECT {KS}, event_id, corners, marginal, lap_length_m, phase, CASE WHEN s < 0 THEN s + lap_length_m ELSE s END AS start_m,
-  CASE WHEN s < 0 THEN lap_length_m ELSE least(e, lap_length_m) END AS end_m FROM ivl
+  CASE WHEN s < 0 THEN least(e, 0) + lap_length_m ELSE least(e, lap_length_m) END AS end_m FROM ivl
  UNION ALL SELECT {KS}, event_id, corners, marginal, lap_length_m, phase, 0, CASE WHEN s < 0 THEN e ELSE e - lap_length_m END FROM ivl WHERE (s < 0 AND e > 0) OR (s >= 0 AND e > lap_length_m)) WHERE end_m > start_m"""
 CTES["ovl"] = f"""
 SELECT {KS}, 'phases overlap at ' || CAST(round(min(start_m)) AS INT) || ' m' AS reason FROM

@@ -238,7 +238,7 @@ def split_at_line(intervals: DataFrame) -> DataFrame:
     piece = lambda a, b: F.struct(a.cast("double").alias("start_m"), b.cast("double").alias("end_m"))
     zero = F.lit(0.0)
     pieces = (
-        F.when(s < 0, F.array(piece(s + length, length), piece(zero, e)))
+        F.when(s < 0, F.array(piece(s + length, F.least(e, zero) + length), piece(zero, e)))
         .when(e > length, F.array(piece(s, length), piece(zero, e - length)))
         .otherwise(F.array(piece(s, e)))
     )

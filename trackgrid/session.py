@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "20g") -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
     return (
@@ -31,14 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     without the setting is an error, because a machine-local folder is lost
     with its machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="trackgrid-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="trackgrid-")
+    return _LOCAL_FOLDERS[app]
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

@@ -217,20 +217,21 @@ def latest_snapshot(snapshots: DataFrame, by: Sequence[str] = SESSION, date: str
 
 # ---------------------------------------------------------------- paged payloads
 
+def page_faults(pages: DataFrame, items: str, reported: str = "total") -> DataFrame:
+    """Requests that report no items, or that yield another number of items than reported."""
+    checks = pages.groupBy("request").agg(F.max(F.col(reported).cast("long")).alias("_t"), F.sum(F.size(items)).alias("_n"))
+    fault = F.when(F.col("_t") == 0, F.lit("empty payload")).when(F.col("_n") != F.col("_t"), F.lit("incomplete payload"))
+    return checks.select("request", fault.alias("fault")).filter("fault IS NOT NULL")
+
+
 def merge_pages(pages: DataFrame, items: str, reported: str = "total") -> DataFrame:
-    """Flat lists of a paged payload put together.
+    """Flat lists of a paged payload put together; a faulty request is an error.
 
-    ``pages``: one row per page with ``request``, the list column and the
-    reported total. A request whose total is zero, or that yields another
-    number of items than reported, is an error.
+    ``pages``: one row per page with ``request``, the list column and the reported total.
     """
-    checks = pages.groupBy("request").agg(F.max(F.col(reported).cast("long")).alias("_t"), F.sum(F.size(items)).alias("_n"))
-    fault = (
-        F.when(F.col("_t") == 0, F.concat(F.lit("empty payload: "), F.col("request").cast("string")))
-        .when(F.col("_n") != F.col("_t"), F.concat(F.lit("incomplete payload: "), F.col("request").cast("string")))
-    )
-    ok = checks.filter(F.when(fault.isNotNull(), F.raise_error(fault).cast("boolean")).otherwise(F.lit(True))).select("request")
-    return pages.join(ok, "request").select("request", F.explode(items).alias("item"))
+    for bad in page_faults(pages, items, reported).take(1):
+        raise IngestError(f"{bad['fault']}: {bad['request']}")
+    return pages.select("request", F.explode(items).alias("item"))
 
 
 def merge_nested(races: DataFrame, results: str, key: Sequence[str] = ("season", "round")) -> DataFrame:
