@@ -66,11 +66,11 @@ def resolve_layouts(sessions: DataFrame, layouts: DataFrame, overrides: DataFram
     """The layout each session raced: the event's override, else the one its season falls in.
 
     ``sessions`` needs a unique ``session_key``, season, circuit_id and event_name. A session
-    with no or several candidates keeps a null layout and says why. The layout list is a
-    constant of a few dozen rows, so it is broadcast.
+    with no or several candidates keeps a null layout and says why. The range meets within
+    one circuit, so the join has an equality to run on.
     """
-    named = sessions.join(F.broadcast(overrides), ["season", "event_name"], "left")
-    l = F.broadcast(layouts.withColumnRenamed("circuit_id", "_circuit"))
+    named = sessions.join(overrides, ["season", "event_name"], "left")
+    l = layouts.withColumnRenamed("circuit_id", "_circuit")
     covers = (F.col("circuit_id") == F.col("_circuit")) & (F.col("first_season") <= F.col("season")) & (F.col("last_season").isNull() | (F.col("season") <= F.col("last_season")))
     hit = named.join(l, covers, "left")
     found = hit.groupBy("session_key").agg(

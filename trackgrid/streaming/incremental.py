@@ -20,6 +20,7 @@ def load_new_snapshots(
     A batch names the sessions it touches; all landed rows of these sessions are
     read again, so a session that arrives in several files is still computed as
     a whole. Its partition is replaced, which makes a repeated batch harmless.
+    With a source partitioned by session, that read is pruned to the touched partitions.
     The query stops once it has caught up; the checkpoint remembers what was read.
     """
     stream = spark.readStream.schema(schema)
