@@ -188,3 +188,23 @@ def test_time_curves_need_grid_index_zero(spark):
     g = S.resample(spark.createDataFrame(lap())).filter("grid_index > 0")
     with pytest.raises(Exception, match="grid index 0"):
         S.time_curves(g).collect()
+
+
+def test_lap_without_a_time_is_refused(spark):
+    one = lap(number=5)
+    one.loc[4, "session_time"] = np.nan
+    good, bad = S.resample_session(spark.createDataFrame(pd.concat([lap(), one])))
+    assert [r["reason"] for r in bad.collect()] == ["time contains non-finite values"] and good.count() == 101
+
+
+def test_result_does_not_depend_on_the_number_of_partitions(spark):
+    frames = [lap(number=n, d=np.arange(0, 1000.0, 3.0 + n)) for n in range(1, 4)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        got = []
+        for parts in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append(grid_of(spark, frames))
+        pd.testing.assert_frame_equal(*got)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
