@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackgrid.llm import exact, urls
+from trackgrid.llm import exact, mix, pack, urls
 from trackgrid.llm.ship import ship
 from trackgrid.llm.words import LOWER, UPPER
 
@@ -23,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.taken(table(spark, sf_dir, "documents"))
+
+
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = public_tokenizers
+    return pack.pack(table(spark, sf_dir, "documents"), p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN, with_ids=False)
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -33,11 +43,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": op1_mix,
+    "op2_pack": op2_pack,
     "op9_url_rules": op9_url_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_mix": op1_mix,
+    "op2_pack": op2_pack,
     "op9_url_rules": f"""
 SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' ELSE 'allow' END AS verdict FROM (
   SELECT page_id, host, path, CASE
