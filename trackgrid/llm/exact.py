@@ -15,7 +15,8 @@ of rows that repeat a doc_id and a text one is kept; an empty table gives no row
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,24 @@ from trackgrid.llm.words import LOWER, UPPER
 from trackgrid.session import cut, shared_dir
 
 LEAST = -(2**63)
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The state lies in RocksDB files; without space set aside ahead, so many small stores stay small.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
+
+@contextmanager
+def store_settings(spark: SparkSession) -> Iterator[None]:
+    """The session's settings with STORE, put back at the end."""
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def normalised(text: Column) -> Column:
@@ -53,13 +70,9 @@ class ExactDedup:
             source = source.option("maxFilesPerTrigger", str(files_per_trigger))
         ordered = source.parquet(f"{self.folder}/landed").withColumn("ord", F.coalesce("doc_id", F.lit(LEAST)))
         kept = ordered.groupBy("digest").agg(F.max("ord").alias("ord"), F.max_by("place", "ord").alias("place"), F.count(F.lit(1)).alias("n"))
-        before = self.spark.conf.get(PROVIDER, None)
-        self.spark.conf.set(PROVIDER, ROCKSDB)
-        try:
+        with store_settings(self.spark):
             stream = kept.writeStream.format("noop").outputMode("update").option("checkpointLocation", f"{self.folder}/state").trigger(availableNow=True).start()
             stream.awaitTermination()
-        finally:
-            self.spark.conf.set(PROVIDER, before) if before else self.spark.conf.unset(PROVIDER)
 
     def landed(self) -> DataFrame:
         return self.spark.read.schema("digest binary, doc_id long, place string").parquet(f"{self.folder}/landed")
@@ -81,7 +94,8 @@ class ExactDedup:
 
         ``docs`` are the same documents, read again for the byte check.
         """
-        state = cut(self.state(), "exact-state")
+        with store_settings(self.spark):
+            state = cut(self.state(), "exact-state")
         hits = self.hits(docs, state)
         # equal digests with different bytes: minimum and maximum differ
         clash = cut(hits.groupBy("digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi")).filter("lo <> hi").select("digest"), "exact-clash")
