@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackgrid.llm.words import one_row_batches
+from trackgrid.llm.words import Numbers, one_row_batches
 
 END = 1
 SPECIAL = "<|endoftext|>"
@@ -41,15 +41,6 @@ OTHER_SPACE = re.compile(r"[^\S \n]")
 ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x00"
 
 
-class _Index(dict):
-    """Piece -> number; a new piece gets the next one and is noted."""
-
-    def __missing__(self, piece: str) -> int:
-        self[piece] = number = len(self)
-        self.new.append(piece)
-        return number
-
-
 class Bpe:
     """Ids of whole texts, each distinct space-led piece encoded once.
 
@@ -70,8 +61,7 @@ class Bpe:
         self.clear()
 
     def clear(self) -> None:
-        self.index = _Index()
-        self.index.new = []
+        self.index = Numbers()
         self.flat = np.zeros(1 << 20, np.uint32)
         self.used = 0
         self.at, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackgrid.llm import exact, mix, pack, urls
+from trackgrid.llm import exact, langid, mix, pack, toxicity, urls
 from trackgrid.llm.ship import ship
-from trackgrid.llm.words import LOWER, UPPER
+from trackgrid.llm.words import LOWER, UPPER, bucket
 
 URL_RULES = [
     urls.Rule("block", "net"),
@@ -33,6 +33,19 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN, with_ids=False)
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, public_tokenizers.path("piece_bpe_32k.model"), bucket("doc_id", 4) != 2)
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), bucket("doc_id", 5) != 0)
+    return toxicity.score(docs, model).select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -45,6 +58,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
+    "op3_langid": op3_langid,
+    "op5_toxicity": op5_toxicity,
     "op9_url_rules": op9_url_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -67,3 +67,16 @@ def one_row_batches(batches, limit: int = 4 << 20):
 
 def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
+
+
+class Numbers(dict):
+    """Word -> number; a new word gets the next one and is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, word) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
