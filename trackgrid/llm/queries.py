@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackgrid.llm import exact, langid, mix, pack, toxicity, urls
+from trackgrid.llm import exact, langid, mix, pack, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
 from trackgrid.llm.words import LOWER, UPPER, bucket
 
@@ -46,6 +46,16 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.grouped(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -60,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pack": op2_pack,
     "op3_langid": op3_langid,
     "op5_toxicity": op5_toxicity,
+    "op7_simhash": op7_simhash,
+    "op8_substring": op8_substring,
     "op9_url_rules": op9_url_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
