@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackgrid.llm import exact, langid, mix, pack, simhash, substring, toxicity, urls
+from trackgrid.llm import ann, exact, langid, mix, pack, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
 from trackgrid.llm.words import LOWER, UPPER, bucket
 
@@ -40,6 +40,11 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (bucket("doc_id", 4) == 2).alias("held_out"), F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    return ann.nearest(rows, F.col("id") % 20 == 0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), bucket("doc_id", 5) != 0)
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
     "op3_langid": op3_langid,
+    "op4_nearest": op4_nearest,
     "op5_toxicity": op5_toxicity,
     "op7_simhash": op7_simhash,
     "op8_substring": op8_substring,
