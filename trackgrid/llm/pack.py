@@ -91,6 +91,11 @@ class Bpe:
             return
         ids = np.asarray(self.bpe.encode_to_numpy("\n".join(new)), np.uint32)
         breaks = np.flatnonzero(ids == self.line)
+        if len(breaks) != len(new) - 1:  # a piece's own white space swallowed a break
+            for k, piece in enumerate(new):
+                self._put(len(self.index) - len(new) + k, self.whole(piece))
+            self.index.new = []
+            return
         at = np.concatenate([[0], breaks + 1])
         size = np.concatenate([breaks, [len(ids)]]) - at
         first = len(self.index) - len(new)
@@ -100,6 +105,17 @@ class Bpe:
         self.used += len(ids)
         self.index.new = []
 
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of pieces that hold no newline: ids are flat[at[number] : at[number] + size[number]]."""
+        if len(self.index) > MOST_CACHED:
+            self.clear()
+        out = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        odd = [p for p in self.index.new if not self.plain(p) or p.endswith(" ")]
+        self._learn()  # pieces with other white space come out wrong here and are put right
+        for p in odd:
+            self._put(self.index[p], self.whole(p))
+        return out
+
     def whole(self, text: str) -> np.ndarray:
         if SPECIAL not in text:
             try:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackgrid.llm import ann, exact, langid, mix, pack, simhash, substring, toxicity, urls
+from trackgrid.llm import ann, exact, langid, lm, mix, pack, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
 from trackgrid.llm.words import LOWER, UPPER, bucket
 
@@ -51,6 +51,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", (bucket("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = public_tokenizers
+    return lm.score(table(spark, sf_dir, "documents"), p.path("byte_bpe_50k.json"), p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.grouped(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_nearest": op4_nearest,
     "op5_toxicity": op5_toxicity,
+    "op6_lm_score": op6_lm_score,
     "op7_simhash": op7_simhash,
     "op8_substring": op8_substring,
     "op9_url_rules": op9_url_rules,

@@ -37,8 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackgrid.llm.words import Spans, one_row_batches
-from trackgrid.session import cut
+from trackgrid.llm.words import Spans, ascii_lower, one_row_batches
 
 #: A perfect difference set: every residue modulo 7 is a difference of two of its members.
 PERIOD, COVER = 7, (0, 1, 3)
@@ -85,12 +84,13 @@ def units(docs: DataFrame, size: int) -> DataFrame:
 class Unit:
     """A unit's documents, words and hashes."""
 
-    def __init__(self, docs: bytes, sizes: bytes, texts: bytes, window: int):
+    def __init__(self, docs: bytes, sizes: bytes, texts: bytes, window: int, lower: bool = False):
         self.window = window
         known, self.doc = np.frombuffer(docs, np.int64).reshape(2, -1)
         self.known = known.astype(bool)
         ends = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
         data = zstandard.ZstdDecompressor().decompress(texts) if ends[-1] else b""
+        data = ascii_lower(np.frombuffer(data, np.uint8)).tobytes() if lower else data
         self.spans = Spans(pa.LargeStringArray.from_buffers(len(self.doc), pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(data)))
         s = self.spans
         self.row = np.repeat(np.arange(len(self.doc)), s.counts())
@@ -153,9 +153,9 @@ MESSAGE_SCHEMA = "bucket long, unit long, payload binary"
 KEY = np.dtype([("a", np.uint64), ("b", np.uint16)])  # 10 bytes, not padded
 
 
-def unit_of(table: pa.Table, window: int) -> tuple[int, Unit]:
+def unit_of(table: pa.Table, window: int, lower: bool = False) -> tuple[int, Unit]:
     r = {k: table.column(k)[0].as_py() for k in ("unit", "docs", "sizes", "texts")}
-    return r["unit"], Unit(r["docs"], r["sizes"], r["texts"], window)
+    return r["unit"], Unit(r["docs"], r["sizes"], r["texts"], window, lower)
 
 
 def answers(table: pa.Table) -> list[bytes]:
@@ -179,16 +179,25 @@ def by_bucket(unit: int, bucket: np.ndarray, payload) -> pa.Table:
     return _table(MESSAGE, bucket=names.tolist(), unit=[unit] * len(names), payload=[payload(a, b) for a, b in zip(first.tolist(), ends, strict=True)])
 
 
-def remove(docs: DataFrame, window: int = 13, unit_size: int = UNIT) -> DataFrame:
-    """doc_id, n_words, n_removed and kept (the remaining words, joined by one space, as bytes)."""
+def landed(docs: DataFrame, size: int = UNIT) -> DataFrame:
+    """The units as a table bucketed by unit, so that answers join them without moving texts again."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"substring_units_{uuid.uuid4().hex}"
-    units(docs, unit_size).repartition(partitions, "unit").write.bucketBy(partitions, "unit").option("compression", "none").format("parquet").saveAsTable(name)
-    held = spark.table(name)
+    name = f"document_units_{uuid.uuid4().hex}"
+    units(docs, size).repartition(partitions, "unit").write.bucketBy(partitions, "unit").option("compression", "none").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+def bucket_bits(total_bytes: int) -> int:
+    """Bits of the hash that name a bucket of about BUCKET bytes; at least 16 buckets."""
+    return max(4, int(np.ceil(np.log2(max(1, total_bytes // BUCKET)))))
+
+
+def remove(docs: DataFrame, window: int = 13, unit_size: int = UNIT) -> DataFrame:
+    """doc_id, n_words, n_removed and kept (the remaining words, joined by one space, as bytes)."""
+    held = landed(docs, unit_size)
     words = held.agg(F.sum("words")).first()[0] or 0
-    bits = max(4, int(np.ceil(np.log2(max(1, words * len(COVER) * 5 // PERIOD // BUCKET)))))
-    wide = max(4, int(np.ceil(np.log2(max(1, words * 13 // 2 // BUCKET)))))
+    bits, wide = bucket_bits(words * len(COVER) * 5 // PERIOD), bucket_bits(words * 13 // 2)
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
