@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from trackgrid.llm import ann, exact, langid, lm, mix, pack, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
 from trackgrid.llm.words import LOWER, UPPER, bucket
@@ -86,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_url_rules": op9_url_rules,
     "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {

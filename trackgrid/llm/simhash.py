@@ -82,24 +82,37 @@ def masks(radius: int, turn: int) -> list[int]:
 
 
 def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the fingerprints within the radius of each other."""
-    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius
-    new, a, b = np.ones(len(fps), bool), [], []
-    for root in range(len(fps)):
-        if not new[root]:
-            continue
-        new[root], todo = False, [root]
-        while todo:
-            here = todo.pop()
-            for k in np.flatnonzero(near[here] & new).tolist():
-                new[k] = False
-                a.append(here)
-                b.append(k)
-                todo.append(k)
+    """Links of a minimum spanning forest of the fingerprints within the radius: the closest are linked first."""
+    apart = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    part, a, b = np.arange(len(fps)), [], []
+    for reach in range(1, radius + 1):
+        near = apart <= reach
+        grown = near.sum() > len(fps)
+        new = np.ones(len(fps), bool)
+        for root in range(len(fps)) if grown else ():
+            if not new[root]:
+                continue
+            todo = np.flatnonzero(part == part[root]).tolist()
+            new[todo] = False
+            while todo:
+                here = todo.pop()
+                while len(more := np.flatnonzero(near[here] & new)):
+                    k = int(more[0])
+                    a.append(here)
+                    b.append(k)
+                    joined = np.flatnonzero(part == part[k])
+                    part[joined] = part[root]
+                    new[joined] = False
+                    todo += joined.tolist()
     return fps[a].view(np.int64), fps[b].view(np.int64)
 
 
-def bucket_links(rows: DataFrame, radius: int, last: bool) -> DataFrame:
+def all_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius, 1))
+    return fps[a].view(np.int64), fps[b].view(np.int64)
+
+
+def bucket_links(rows: DataFrame, radius: int, last: bool, every: int = 0) -> DataFrame:
     """From (path, key, fp): links (path -1, a, b) and rows of too large buckets (path, fp, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +136,7 @@ def bucket_links(rows: DataFrame, radius: int, last: bool) -> DataFrame:
                 if n > LARGEST and not last:
                     gone.append(np.arange(s, s + n))
                 else:
-                    links = forest(fp[s : s + n].view(np.uint64), radius)
+                    links = (all_links if n <= every else forest)(fp[s : s + n].view(np.uint64), radius)
                     a.append(links[0])
                     b.append(links[1])
             a, b = np.concatenate(a), np.concatenate(b)
@@ -160,8 +173,11 @@ def bucket_links(rows: DataFrame, radius: int, last: bool) -> DataFrame:
     return dealt.mapInArrow(run, "path long, a long, b long")
 
 
-def links(classes: DataFrame, radius: int) -> DataFrame:
-    """Distinct links (a, b), a < b, that connect all fingerprints within the radius of each other."""
+def links(classes: DataFrame, radius: int, every: int = 0) -> DataFrame:
+    """Distinct links (a, b), a < b, that connect all fingerprints within the radius of each other.
+
+    Buckets of at most ``every`` fingerprints give all their links, others a minimum spanning forest.
+    """
     size = (1 << (radius + 1)) - 1
     found, rows, chosen = [], classes.select(F.lit(0).cast("long").alias("path"), "fp"), [0]
     fixed = {0: 0}  # path -> bits that all rows of it share by value
@@ -174,7 +190,7 @@ def links(classes: DataFrame, radius: int) -> DataFrame:
             table = F.transform(table, lambda m: m.bitwiseOR(F.col("mask")))
         spread = (rows if turn else rows.withColumn("mask", F.lit(0).cast("long"))).select("path", "fp", F.posexplode(table).alias("v", "mask"))
         spread = spread.select((F.col("path") * (size + 1) + F.col("v") + 1).alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-        step = cut(bucket_links(spread, radius, turn == ROUNDS - 1), "simhash-links")
+        step = cut(bucket_links(spread, radius, turn == ROUNDS - 1, every), "simhash-links")
         found.append(step.filter("path = -1"))
         again = step.filter("path >= 0")
         chosen = [r["path"] for r in again.select("path").distinct().collect()]  # at most the paths of the rounds so far
@@ -222,11 +238,69 @@ def grouped(docs: DataFrame, n: int = 4, radius: int = 4) -> DataFrame:
     return fps.join(cut(named, "simhash-named"), "fp")
 
 
-def keep_one(docs: DataFrame, n: int = 5, radius: int = 4) -> DataFrame:
-    """The documents without those that a smaller doc_id of their component stands for.
+def sketch(hashes: np.ndarray, size: int) -> bytes:
+    """The smallest distinct hashes: all of a short text's shingles, a uniform sample of a long one's."""
+    return np.unique(hashes >> np.uint64(32)).astype(np.uint32)[:size].tobytes()
+
 
-    Rows without a doc_id stay, because nothing can name them.
+def overlap(x: bytes, y: bytes, size: int) -> float:
+    """Jaccard similarity from two sketches; exact where neither is full."""
+    a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+    both = np.union1d(a, b)
+    if len(a) == size or len(b) == size:
+        both = both[:size]
+    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).mean()) if len(both) else 1.0
+
+
+def signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
+    """doc_id, mark, the fingerprint of the single words and the sketch of the n-word shingles."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for batch in one_row_batches(batches):
+            spans = Spans(batch.column(1))
+            words, first = spans.words(lower=True), spans.first.tolist()
+            fps, sketches = [], []
+            for a, b in zip(first, first[1:]):
+                here = words[a:b]
+                fps.append(fingerprint(here, 1))
+                parts = [b" ".join(here[i : i + n]) for i in range(len(here) - n + 1)] or ([b" ".join(here)] if here else [])
+                sketches.append(sketch(np.array([digest(x, SEED) for x in parts], np.uint64), size))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sketches, pa.binary())], names=["doc_id", "mark", "fp", "sketch"]
+            )
+
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, fp long, sketch binary")
+
+
+def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 6, size: int = 1024, every: int = 24) -> DataFrame:
+    """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
+
+    A group is connected by pairs whose sets of n-word shingles are alike by
+    ``similarity`` (Jaccard, from sketches of ``size`` hashes). Candidates are
+    links of fingerprints within the radius; these are made of single words,
+    because one changed word changes n shingles but one word, so pairs that are
+    alike by 0.8 lie within a few bits. All links of a bucket of at most ``every``
+    fingerprints are checked, of a larger one its minimum spanning forest. Rows without a doc_id stay, because
+    nothing can name them, and rows that repeat a doc_id and text stay together.
     """
-    gone = grouped(docs, n, radius).filter("doc_id <> component_id").select(F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark")).distinct()
-    same = (docs["doc_id"] == gone["__doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__mark"])
-    return docs.join(gone, same, "left_anti")
+    held = cut(signatures(docs.filter(F.col("doc_id").isNotNull()), n, size), "simhash-signatures")
+    classes = cut(held.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    by = lambda side: classes.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_id"))
+    across = links(classes, radius, every).join(by("a"), "a").join(by("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    within = held.join(classes, "fp").filter("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    pairs = cut(across.unionByName(within).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-pairs")
+    texts = held.groupBy("doc_id").agg(F.min("sketch").alias("sketch"))
+    side = lambda k: texts.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"{k}_sketch"))
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            ok = np.array([overlap(p, q, size) >= similarity for p, q in zip(x, y, strict=True)], bool)
+            yield batch.select([0, 1]).filter(pa.array(ok))
+
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_sketch", "b_sketch").mapInArrow(alike, "a long, b long")
+    gone = components(near).select(F.col("node").alias("__doc_id"))
+    return docs.join(gone, docs["doc_id"] == gone["__doc_id"], "left_anti")
