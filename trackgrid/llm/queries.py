@@ -91,8 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op1_mix": op1_mix,
-    "op2_pack": op2_pack,
     "op9_url_rules": f"""
 SELECT page_id, host, path, rule, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.com/de/' THEN 'block' ELSE 'allow' END AS verdict FROM (
   SELECT page_id, host, path, CASE

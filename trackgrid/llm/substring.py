@@ -114,7 +114,7 @@ class Unit:
         """The hash of the n words from each word on; only meaningful where ``left >= n``."""
         h, base = np.zeros(len(self.at), np.uint64), np.uint64(BASES[which])
         words = self.hashes[which]
-        for j in range(n):
+        for j in range(min(n, len(h))):
             h[: len(h) - j] = h[: len(h) - j] * base + words[j:]
         h = (h ^ (h >> np.uint64(32))) * MIX
         return h ^ (h >> np.uint64(29))
@@ -175,7 +175,7 @@ def from40(payload: bytes) -> np.ndarray:
 def by_bucket(unit: int, bucket: np.ndarray, payload) -> pa.Table:
     """One message per bucket; ``bucket`` ascends and payload(lo, hi) packs a stretch."""
     names, first = np.unique(bucket, return_index=True)
-    ends = [*first[1:].tolist(), len(bucket)]
+    ends = [*first[1:].tolist(), len(bucket)][: len(names)]
     return _table(MESSAGE, bucket=names.tolist(), unit=[unit] * len(names), payload=[payload(a, b) for a, b in zip(first.tolist(), ends, strict=True)])
 
 
