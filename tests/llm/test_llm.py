@@ -464,16 +464,23 @@ def test_attention_is_causal_and_gradients_are_right():
     valid[0, :2] = False
     scored = valid.copy()
     scored[:, :2] = False
-    y = lm.forward(p, c.row[ids[:, :-1]], valid, s)
+    hidden = lambda q, i: lm.forward(q, c.row[i[:, :-1]], valid, s)[0]
     other = ids.copy()
     other[:, 4] = (other[:, 4] + 1) % 40
-    assert np.allclose(y[:, :4][valid[:, :4]], lm.forward(p, c.row[other[:, :-1]], valid, s)[:, :4][valid[:, :4]])
+    assert np.allclose(hidden(p, ids)[:, :4][valid[:, :4]], hidden(p, other)[:, :4][valid[:, :4]])
 
-    def loss(q):
-        z = lm.forward(q, c.row[ids[:, :-1]], valid, s) @ q["out"] + q["bias"]
+    def logs(q):
+        z = hidden(q, ids) @ q["out"] + q["bias"]
         z = z - np.log(np.exp(z).sum(-1, keepdims=True))
-        return -np.take_along_axis(z, c.of[ids[:, 1:]][..., None], 2)[..., 0][scored].mean()
+        return np.take_along_axis(z, c.of[ids[:, 1:]][..., None], 2)[..., 0]
+
+    def loss(q):
+        return -logs(q)[scored].mean()
 
+    stream = np.concatenate([ids[0, 2:], ids[1], ids[2]])
+    lo = np.array([0, 5, 12])
+    got = lm.Reader(p, c, s).scores(stream, np.array([-2, 5, 12]), lo, np.array([4, 11, 18]))
+    assert got == pytest.approx(((logs(p) + c.log_share[ids[:, 1:]]) * scored).sum(1), rel=1e-4)
     g = lm.gradients(p, c.row[ids[:, :-1]], valid, c.of[ids[:, 1:]], scored, s)
     for k in p:
         at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
@@ -486,7 +493,8 @@ def test_attention_is_causal_and_gradients_are_right():
 def test_windows_score_each_id_once():
     s = lm.Shape(window=8, before=3)
     first = np.array([0, 2, 15, 40])
-    at, valid, doc, _ = lm.windows(np.zeros(40), first, s)
+    start, lo, hi, *_ = lm.windows(first, s)
+    at, valid = lm.places(start, lo, hi, s)
     places = at[:, s.before :][valid[:, s.before :]]
     assert sorted(places.tolist()) == [p for a, b in zip(first, first[1:]) for p in range(a, b - 1)]
 

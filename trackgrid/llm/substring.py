@@ -96,19 +96,27 @@ class Unit:
         self.row = np.repeat(np.arange(len(self.doc)), s.counts())
         self.at = np.arange(len(s.starts)) - s.first[:-1][self.row]
         self.left = s.counts()[self.row] - self.at
-        self.hashes = [self._words(b) for b in BASES]
-
-    def _words(self, base: int) -> np.ndarray:
-        """A hash per word: the difference of a prefix polynomial over the bytes, divided by its power."""
-        s, n = self.spans, len(self.spans.data)
-        powers = np.ones((2, n + 1), np.uint64)
-        powers[0, 1:], powers[1, 1:] = base, pow(base, -1, 1 << 64)
-        powers = np.cumprod(powers, axis=1, dtype=np.uint64)
-        prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum((s.data.astype(np.uint64) + np.uint64(1)) * powers[0, :-1], out=prefix[1:])
-        h = (prefix[s.ends] - prefix[s.starts]) * powers[1][s.starts]
-        h = (h ^ (h >> np.uint64(33))) * MIX
-        return h ^ (h >> np.uint64(29))
+        self.hashes = self._words()
+
+    def _words(self) -> list[np.ndarray]:
+        """Hashes per word, for each base: a polynomial over its bytes."""
+        s = self.spans
+        size = s.ends - s.starts
+        if not len(size):
+            return [np.zeros(0, np.uint64) for _ in BASES]
+        data = s.data[~((s.data == 32) | ((s.data >= 9) & (s.data <= 13)))]  # words end to end
+        first = np.cumsum(size) - size
+        inner = (np.arange(len(data)) - np.repeat(first, size)).astype(np.int32)
+        out = []
+        for base in BASES:
+            power = np.full(int(size.max()), base, np.uint64)
+            power[0] = 1
+            term = np.cumprod(power, dtype=np.uint64)[inner]
+            term *= data + np.uint64(1)
+            h = np.add.reduceat(term, first)
+            h = (h ^ (h >> np.uint64(33))) * MIX
+            out.append(h ^ (h >> np.uint64(29)))
+        return out
 
     def runs(self, which: int, n: int) -> np.ndarray:
         """The hash of the n words from each word on; only meaningful where ``left >= n``."""
