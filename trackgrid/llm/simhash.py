@@ -34,6 +34,7 @@ from trackgrid.session import cut
 SEED = 42
 LARGEST = 2048
 ROUNDS = 5
+MOST_BROADCAST = 500_000  # rows of one long
 
 
 def fingerprint(words: list[bytes], n: int) -> int:
@@ -275,6 +276,11 @@ def signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, fp long, sketch binary")
 
 
+def small(ids: DataFrame) -> DataFrame:
+    """A table of ids to join with: broadcast while it is counted to be small, shuffled beyond."""
+    return F.broadcast(ids) if ids.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else ids
+
+
 def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 6, size: int = 1024, every: int = 24) -> DataFrame:
     """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
 
@@ -292,7 +298,8 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int =
     across = links(classes, radius, every).join(by("a"), "a").join(by("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     within = held.join(classes, "fp").filter("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
     pairs = cut(across.unionByName(within).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-pairs")
-    texts = held.groupBy("doc_id").agg(F.min("sketch").alias("sketch"))
+    ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "simhash-ends")
+    texts = cut(held.join(small(ends), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("sketch").alias("sketch")), "simhash-sketches")
     side = lambda k: texts.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"{k}_sketch"))
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,5 +309,5 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int =
             yield batch.select([0, 1]).filter(pa.array(ok))
 
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_sketch", "b_sketch").mapInArrow(alike, "a long, b long")
-    gone = components(near).select(F.col("node").alias("__doc_id"))
+    gone = small(cut(components(near).select(F.col("node").alias("__doc_id")), "simhash-gone"))
     return docs.join(gone, docs["doc_id"] == gone["__doc_id"], "left_anti")
