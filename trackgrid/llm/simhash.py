@@ -20,6 +20,7 @@ rows share a fingerprint; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,7 @@ from trackgrid.session import cut
 SEED = 42
 LARGEST = 2048
 ROUNDS = 5
+AT_MOST = 5  # times a word counts for the candidates of near duplicates
 MOST_BROADCAST = 500_000  # rows of one long
 
 
@@ -265,7 +267,7 @@ def signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
             fps, sketches = [], []
             for a, b in zip(first, first[1:]):
                 here = words[a:b]
-                fps.append(fingerprint(here, 1))
+                fps.append(fingerprint([w for w, k in Counter(here).items() for _ in range(min(k, AT_MOST))], 1))
                 parts = [b" ".join(here[i : i + n]) for i in range(len(here) - n + 1)] or ([b" ".join(here)] if here else [])
                 sketches.append(sketch(np.array([digest(x, SEED) for x in parts], np.uint64), size))
             yield pa.RecordBatch.from_arrays(
@@ -286,7 +288,8 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int =
 
     A group is connected by pairs whose sets of n-word shingles are alike by
     ``similarity`` (Jaccard, from sketches of ``size`` hashes). Candidates are
-    links of fingerprints within the radius; these are made of single words,
+    links of fingerprints within the radius; these are made of single words, each
+    counted at most ``AT_MOST`` times so that common words do not outweigh the rest,
     because one changed word changes n shingles but one word, so pairs that are
     alike by 0.8 lie within a few bits. All links of a bucket of at most ``every``
     fingerprints are checked, of a larger one its minimum spanning forest. Rows without a doc_id stay, because
