@@ -36,7 +36,7 @@ from trackgrid.llm.words import Numbers, one_row_batches
 
 END = 1
 SPECIAL = "<|endoftext|>"
-MOST_CACHED = 300_000
+MOST_CACHED = 150_000
 OTHER_SPACE = re.compile(r"[^\S \n]")
 ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x00"
 

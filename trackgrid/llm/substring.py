@@ -106,7 +106,9 @@ class Unit:
             return [np.zeros(0, np.uint64) for _ in BASES]
         data = s.data[~((s.data == 32) | ((s.data >= 9) & (s.data <= 13)))]  # words end to end
         first = np.cumsum(size) - size
-        inner = (np.arange(len(data)) - np.repeat(first, size)).astype(np.int32)
+        kind = np.int32 if len(data) < 2**31 else np.int64
+        inner = np.arange(len(data), dtype=kind)
+        inner -= np.repeat(first.astype(kind), size)
         out = []
         for base in BASES:
             power = np.full(int(size.max()), base, np.uint64)
