@@ -123,10 +123,10 @@ def _(b):
 
 
 @query("jon12_lap_self_join", SS + "driver:s points:i speed_gap:d", f"""
-SELECT {KS}, driver, count(*) AS points, avg(b.speed - a.speed) AS speed_gap FROM (SELECT * FROM grid WHERE lap_number = 1) a JOIN (SELECT * FROM grid WHERE lap_number = 2) b USING ({KS}, driver, grid_index) GROUP BY ALL""")
+SELECT {KS}, driver, count(*) AS points, avg(b.speed - a.speed) AS speed_gap FROM grid a JOIN (SELECT * REPLACE (lap_number - 1 AS lap_number) FROM grid) b USING ({KS}, driver, lap_number, grid_index) GROUP BY ALL""")
 def _(b):
-    lap = lambda n: grid(b).filter(F.col("lap_number") == n).select(*SESSION, "driver", "grid_index", F.col("speed").alias(f"v{n}"))
-    return lap(1).join(lap(2), [*SESSION, "driver", "grid_index"]).groupBy(*SESSION, "driver").agg(F.count(F.lit(1)).alias("points"), F.avg(F.col("v2") - F.col("v1")).alias("speed_gap"))
+    lap = lambda n: grid(b).select(*SESSION, "driver", (F.col("lap_number") - (n - 1)).alias("lap_number"), "grid_index", F.col("speed").alias(f"v{n}"))
+    return lap(1).join(lap(2), [*LAP, "grid_index"]).groupBy(*SESSION, "driver").agg(F.count(F.lit(1)).alias("points"), F.avg(F.col("v2") - F.col("v1")).alias("speed_gap"))
 
 
 @query("jon13_lap_pairs", SS + "pair:s gap_s:d", f"SELECT season, round, session_code, pair, gap_s FROM allp")

@@ -220,7 +220,7 @@ def _(b):
 @query("agg00_exact_percentiles", "l_returnflag:s n:i p05:d p50:d p95:d", """
 SELECT l_returnflag, count(*) AS n, quantile_cont(l_extendedprice, 0.05) AS p05, quantile_cont(l_extendedprice, 0.5) AS p50, quantile_cont(l_extendedprice, 0.95) AS p95 FROM lineitem GROUP BY ALL""")
 def _(b):
-    return exact_percentiles(b.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p05": 0.05, "p50": 0.5, "p95": 0.95}, in_memory_rows=0)
+    return exact_percentiles(b.table("lineitem"), ["l_returnflag"], "l_extendedprice", {"p05": 0.05, "p50": 0.5, "p95": 0.95})
 
 
 @query("agg00_exact_median_small_groups", "l_suppkey:i median:d", "SELECT l_suppkey, median(l_extendedprice) AS median FROM lineitem GROUP BY ALL")

@@ -187,8 +187,7 @@ def _(b):
 
 @query("qua16_check_session", "table:s errors:i warnings:i")
 def _(b):
-    few = {n: f for n, f in frames(b).items() if n in ("laps", "car_telemetry", "pos_data")}
-    return R.check_session(b.spark, few, {n: T.CONTRACTS[n] for n in few})["counts"]
+    return R.check_session(b.spark, frames(b), {n: T.CONTRACTS[n] for n in frames(b)})["counts"]
 
 
 @query("agg21_observed_ranges", SS + "table:s column:s low:d high:d", f"""

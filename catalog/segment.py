@@ -48,11 +48,11 @@ CTES["ev3"] = f"""
 SELECT *, greatest(least(coalesce(hit, nl), ns), a1) AS exit_end FROM
  (SELECT *, coalesce(lead(left_max) OVER w, first(left_max) OVER w2 + n) AS nl, coalesce(lead(st) OVER w, first(st) OVER w2 + n) AS ns FROM
   (SELECT *, least(lift, brake_on, a0) AS st FROM ev2) WINDOW w AS (PARTITION BY {KS} ORDER BY i), w2 AS (PARTITION BY {KS} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
-# corners: every third nation is a corner of every session
+# corners: every nation is a corner of every session
 CTES["corn"] = f"""
 SELECT {KS}, n_nationkey + 1 AS number, CASE WHEN n_nationkey % 2 = 1 THEN 'a' ELSE '' END AS letter, floor((40.0 + 78.0 * n_nationkey) / 10.0) * 10.0::DOUBLE AS distance_m,
  (n_nationkey % 7)::DOUBLE AS line_offset_m, 40.0 + 78.0 * n_nationkey AS raw_distance_m
-FROM nation CROSS JOIN (SELECT DISTINCT {KS} FROM tele) WHERE n_nationkey % 3 = 0"""
+FROM nation CROSS JOIN (SELECT DISTINCT {KS} FROM tele)"""
 CTES["lbl"] = f"""
 SELECT {KS}, trough_id AS event_id, string_agg('T' || number || letter, '-' ORDER BY distance_m) AS corners FROM ev3 JOIN corn {US}
 WHERE CASE WHEN pe >= ps THEN distance_m BETWEEN ps AND pe ELSE distance_m >= ps OR distance_m <= pe END GROUP BY ALL""".replace(
@@ -108,13 +108,14 @@ def lengths(b):
 
 def corners(b):
     n = F.col("n_nationkey")
-    nations = b.table("nation").filter(n % 3 == 0).select(
+    nations = b.table("nation").select(
+        "n_nationkey",
         (n + 1).cast("int").alias("number"), F.when(n % 2 == 1, "a").otherwise("").alias("letter"),
         (F.floor((40.0 + 78.0 * n) / 10.0) * 10.0).alias("distance_m"), (n % 7).cast("double").alias("line_offset_m"), (40.0 + 78.0 * n).alias("raw_distance_m"),
     )
-    # a nation row per session: the session list is joined on the season every nation is given
-    sessions = grid(b).select(*SESSION).distinct()
-    return b.staged("corners", lambda: sessions.join(nations.withColumn("season", F.lit(2024)), "season"))
+    # 25 places per session, whatever its season, each of which is one nation's
+    places = grid(b).select(*SESSION).distinct().withColumn("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(24))))
+    return b.staged("corners", lambda: places.join(nations, "n_nationkey").drop("n_nationkey"))
 
 
 def all_events(b):

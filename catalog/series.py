@@ -224,9 +224,9 @@ def _(b):
     return S.resample_session(flat, continuous=["speed"], discrete=["n_gear"])[0]
 
 
-@query("ser11_source_gap", L + "grid_index:i source_gap_m:d", "SELECT * FROM grid WHERE source_gap_m IS NULL OR source_gap_m > 150")
+@query("ser11_source_gap", L + "grid_index:i source_gap_m:d", "SELECT * FROM grid")
 def _(b):
-    return grid(b).filter("source_gap_m IS NULL OR source_gap_m > 150")
+    return grid(b)
 
 
 @query("ser12_elapsed_origin", L + "session_time:d elapsed:d", f"""

@@ -151,7 +151,7 @@ def _(b):
 _CIRC = "['suzuka', 'bahrain', 'albert_park', 'catalunya', 'marina_bay', 'yas_marina', 'losail', 'red_bull_ring', 'sochi', 'nowhere']"
 
 
-_LAY = "VALUES " + ", ".join(f"('{l}', '{c}', {m}, {a}, {'NULL' if z == '-' else z})" for l, c, m, a, z in (line.split() for line in Y.LAYOUTS.strip().splitlines()))
+_LAY = "VALUES " + ", ".join(f"('{l}', '{c}', {m}, {a}, {'NULL' if z is None else z})" for l, c, m, a, z in Y.LAYOUTS)
 
 
 @query("flt06_resolve_layout", "session_key:i season:i circuit_id:s layout_id:s length_m:d resolved:b", f"""
@@ -169,7 +169,7 @@ def _(b):
 
 @query("jon11_season_range", "o_orderkey:i band:s", "SELECT o_orderkey, CASE WHEN year(o_orderdate) <= 1996 THEN 'early' WHEN year(o_orderdate) <= 1998 THEN 'middle' ELSE 'late' END AS band FROM orders")
 def _(b):
-    bands = Y.layout_table(b.spark, "early x 1 1900 1996\nmiddle x 2 1997 1998\nlate x 3 1999 -")
+    bands = Y.layout_table(b.spark, (("early", "x", 1, 1900, 1996), ("middle", "x", 2, 1997, 1998), ("late", "x", 3, 1999, None)))
     o = b.table("orders").select(F.col("o_orderkey").alias("session_key"), F.year("o_orderdate").alias("season"), F.lit("x").alias("circuit_id"), F.lit("e").alias("event_name"))
     done = Y.resolve_layouts(o, bands, Y.override_table(b.spark))
     return done.select(F.col("session_key").alias("o_orderkey"), F.col("layout_id").alias("band"))

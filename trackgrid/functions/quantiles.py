@@ -1,97 +1,90 @@
-"""Exact percentiles of groups of any size.
-
-``percentile`` holds every distinct value of a group in one task, so it is used
-only after the largest group has been counted and is small. Beyond that a sketch
-of bounded size proposes cut points; equal values are counted before the
-shuffle, the counts per bucket locate the bucket of the wanted rank, and just
-that bucket is ordered. The cut points affect how much is ordered, never the
-result, which is linear interpolation between the two neighbouring ranks.
+"""Exact percentiles of groups of any size, by one plan.
+
+Equal values are counted before the shuffle. A first cut by magnitude (4096
+buckets per power of two) and a second one that divides a bucket's own range in
+2^20 say in which bucket a rank lies; only those buckets are ordered. A bucket
+of the second cut holds at most about 2^20 distinct doubles, however large the
+group is, and nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest group, in rows, whose values one task may hold.
-IN_MEMORY_ROWS = 200_000
-MARGIN = 0.01
-SKETCH_ACCURACY = 2000
+PER_POWER = 4096
+MIDDLE = 5_000_000  # beyond every bucket of a magnitude: 1075 powers of two below one
+PARTS = 1 << 20
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: Column | str, probs: Mapping[str, float], in_memory_rows: int | None = None
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column | str, probs: Mapping[str, float]) -> DataFrame:
     """One row per key with a column per requested percentile and ``n``.
 
-    Nulls and NaN are left out; a key without a value yields no row.
+    Linear interpolation between the two neighbouring ranks. Nulls and NaN are
+    left out; a key without a value yields no row.
     """
     value = F.col(value) if isinstance(value, str) else value
     keys = list(keys)
     data = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    limit = IN_MEMORY_ROWS if in_memory_rows is None else in_memory_rows
-    largest = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    if largest is not None and largest > limit:
-        return _select_ranks(data, keys, probs)
-    return data.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *[F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probs.items()]
-    )
+    # a constant key gives a table without keys the same plan
+    groups = keys or ["_all"]
+    data = data if keys else data.withColumn("_all", F.lit(0))
+    counts = data.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", magnitude(F.col("_v")))
 
+    first = counts.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    whole = Window.partitionBy(*groups)
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("n", F.sum("_bn").over(whole)).withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+    first = first.filter(holds_a_rank(probs)).drop("_bn")
 
-def _select_ranks(data: DataFrame, keys: list[str], probs: Mapping[str, float]) -> DataFrame:
-    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-MARGIN, MARGIN)})
-    cuts = data.groupBy(*keys).agg(
-        F.percentile_approx("_v", marks, SKETCH_ACCURACY).alias("_cuts"), F.count(F.lit(1)).alias("n")
-    )
-    counts = data.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    placed = (
-        _join(counts, cuts, keys, on)
-        .withColumn("_b", sum((F.col("_v") > F.element_at("_cuts", i + 1)).cast("int") for i in range(len(marks))))
-        .drop("_cuts")
-    )
-    totals = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_off", F.coalesce(F.sum("_bn").over(order), F.lit(0)))
-    # ranks are zero based: rank r lies in the bucket with off <= r < off + size
-    wanted = {}
-    for name, p in probs.items():
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        wanted[name] = (F.floor(pos), F.ceil(pos), pos)
-    spans = _join(placed, totals.withColumnRenamed("_b", "_tb"), keys, on).filter(F.col("_b") == F.col("_tb"))
-    hit = None
-    for lo, hi, _ in wanted.values():
-        for rank in (lo, hi):
-            inside = (F.col("_off") <= rank) & (rank < F.col("_off") + F.col("_bn"))
-            hit = inside if hit is None else (hit | inside)
-    run = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = spans.filter(hit).withColumn("_end", F.col("_off") + F.sum("_n").over(run))
+    part = F.when(F.col("_max") > F.col("_min"), F.floor((F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * F.lit(float(PARTS)))).otherwise(F.lit(0).cast("long"))
+    part = F.when(F.col("_max") - F.col("_min") < float("inf"), part).otherwise(F.lit(0).cast("long"))
+    inside = same(counts, first, [*groups, "_b"]).withColumn("_p", part)
+    second = inside.groupBy(*groups, "_b", "_p").agg(F.sum("_n").alias("_bn"), F.first("n").alias("n"), F.first("_off").alias("_base"))
+    before = Window.partitionBy(*groups, "_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    second = second.withColumn("_off", F.col("_base") + F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+    second = second.filter(holds_a_rank(probs)).select(*groups, "_b", "_p", F.col("_off").alias("_from"))
+
+    run = Window.partitionBy(*groups, "_b", "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = same(inside, second, [*groups, "_b", "_p"]).withColumn("_end", F.col("_from") + F.sum("_n").over(run))
+    at = lambda rank: F.min(F.when(F.col("_end") > rank, F.col("_v")))
     parts = [F.first("n").alias("n")]
-    for name, (lo, hi, _) in wanted.items():
-        parts.append(F.min(F.when(F.col("_end") > lo, F.col("_v"))).alias(f"_{name}_lo"))
-        parts.append(F.min(F.when(F.col("_end") > hi, F.col("_v"))).alias(f"_{name}_hi"))
-    picked = ranked.groupBy(*keys).agg(*parts)
-    return picked.select(
-        *keys,
-        "n",
-        *[
-            (F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (pos - lo)).alias(name)
-            for name, (lo, _, pos) in wanted.items()
-        ],
+    for name, p in probs.items():
+        lo, hi, _ = ranks(p)
+        parts += [at(lo).alias(f"_{name}_lo"), at(hi).alias(f"_{name}_hi")]
+    between = lambda name, p: F.when(F.col(f"_{name}_lo") == F.col(f"_{name}_hi"), F.col(f"_{name}_lo")).otherwise(
+        F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (ranks(p)[2] - ranks(p)[0])
     )
+    return ranked.groupBy(*groups).agg(*parts).select(*keys, "n", *[between(name, p).alias(name) for name, p in probs.items()])
+
+
+def magnitude(v: Column) -> Column:
+    """A bucket number that never falls as the value rises."""
+    power = F.floor(F.least(F.log2(F.abs(v)), F.lit(1025.0)) * F.lit(float(PER_POWER))) + F.lit(MIDDLE)
+    return F.when(v > 0, power).when(v < 0, -power).otherwise(F.lit(0).cast("long"))
+
+
+def ranks(p: float) -> tuple[Column, Column, Column]:
+    """Zero-based ranks below and above the wanted place, and the place."""
+    place = F.lit(float(p)) * (F.col("n") - 1)
+    return F.floor(place), F.ceil(place), place
+
+
+def holds_a_rank(probs: Mapping[str, float]) -> Column:
+    """Does a bucket of ``_bn`` values after ``_off`` others hold a wanted rank?"""
+    wanted = [r for p in probs.values() for r in ranks(p)[:2]]
+    return reduce(or_, [(F.col("_off") <= r) & (r < F.col("_off") + F.col("_bn")) for r in wanted])
 
 
-def _join(left: DataFrame, right: DataFrame, keys: list[str], on: list[Column]) -> DataFrame:
-    """Equi join on keys that may be null; a join without keys has one right row."""
+def same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys of which some may be null."""
     a, b = left.alias("a"), right.alias("b")
-    cond = on[0] if on else F.lit(True)
-    for extra in on[1:]:
-        cond = cond & extra
-    joined = a.join(b, cond)
-    rest = [F.col(f"b.{c}") for c in right.columns if c not in keys]
-    return joined.select(*[F.col(f"a.{c}") for c in left.columns], *[r for r, c in zip(rest, [c for c in right.columns if c not in keys]) if c not in left.columns])
+    cond = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    return a.join(b, cond).select(*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{c}") for c in right.columns if c not in keys])
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column | str, name: str = "median") -> DataFrame:

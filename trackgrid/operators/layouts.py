@@ -5,55 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Layout, circuit, official length in metres, first season, last season ("-" while current).
-LAYOUTS = """
-suzuka suzuka 5807 2003 -
-bahrain bahrain 5412 2005 -
-jeddah jeddah 6174 2021 -
-shanghai shanghai 5451 2004 -
-miami miami 5412 2022 -
-imola imola 4909 2008 -
-monaco monaco 3337 2015 -
-villeneuve villeneuve 4361 2002 -
-silverstone silverstone 5891 2011 -
-hungaroring hungaroring 4381 2003 -
-spa spa 7004 2007 -
-zandvoort zandvoort 4259 2020 -
-monza monza 5793 2000 -
-baku baku 6003 2016 -
-americas americas 5513 2012 -
-rodriguez rodriguez 4304 2015 -
-interlagos interlagos 4309 1999 -
-vegas vegas 6201 2023 -
-hockenheimring hockenheimring 4574 2002 -
-istanbul istanbul 5338 2005 -
-mugello mugello 5245 1974 -
-nurburgring nurburgring 5148 2001 -
-portimao portimao 4653 2020 -
-ricard ricard 5842 2005 -
-sochi sochi 5848 2014 2023
-albert_park_1996 albert_park 5303 1996 2020
-albert_park albert_park 5278 2021 -
-catalunya_2007 catalunya 4655 2007 2020
-catalunya_chicane catalunya 4675 2021 2022
-catalunya catalunya 4657 2023 -
-marina_bay_2018 marina_bay 5063 2018 2022
-marina_bay_2023 marina_bay 4940 2023 2024
-marina_bay marina_bay 4927 2025 -
-yas_marina_2009 yas_marina 5554 2009 2020
-yas_marina yas_marina 5281 2021 -
-losail_2004 losail 5380 2004 2022
-losail losail 5419 2023 -
-red_bull_ring_2016 red_bull_ring 4318 2016 2024
-red_bull_ring red_bull_ring 4326 2025 -
-"""
+# Layout, circuit, official length in metres, first season, last season (None while current).
+LAYOUTS = (
+    ("suzuka", "suzuka", 5807, 2003, None),
+    ("bahrain", "bahrain", 5412, 2005, None),
+    ("jeddah", "jeddah", 6174, 2021, None),
+    ("shanghai", "shanghai", 5451, 2004, None),
+    ("miami", "miami", 5412, 2022, None),
+    ("imola", "imola", 4909, 2008, None),
+    ("monaco", "monaco", 3337, 2015, None),
+    ("villeneuve", "villeneuve", 4361, 2002, None),
+    ("silverstone", "silverstone", 5891, 2011, None),
+    ("hungaroring", "hungaroring", 4381, 2003, None),
+    ("spa", "spa", 7004, 2007, None),
+    ("zandvoort", "zandvoort", 4259, 2020, None),
+    ("monza", "monza", 5793, 2000, None),
+    ("baku", "baku", 6003, 2016, None),
+    ("americas", "americas", 5513, 2012, None),
+    ("rodriguez", "rodriguez", 4304, 2015, None),
+    ("interlagos", "interlagos", 4309, 1999, None),
+    ("vegas", "vegas", 6201, 2023, None),
+    ("hockenheimring", "hockenheimring", 4574, 2002, None),
+    ("istanbul", "istanbul", 5338, 2005, None),
+    ("mugello", "mugello", 5245, 1974, None),
+    ("nurburgring", "nurburgring", 5148, 2001, None),
+    ("portimao", "portimao", 4653, 2020, None),
+    ("ricard", "ricard", 5842, 2005, None),
+    ("sochi", "sochi", 5848, 2014, 2023),
+    ("albert_park_1996", "albert_park", 5303, 1996, 2020),
+    ("albert_park", "albert_park", 5278, 2021, None),
+    ("catalunya_2007", "catalunya", 4655, 2007, 2020),
+    ("catalunya_chicane", "catalunya", 4675, 2021, 2022),
+    ("catalunya", "catalunya", 4657, 2023, None),
+    ("marina_bay_2018", "marina_bay", 5063, 2018, 2022),
+    ("marina_bay_2023", "marina_bay", 4940, 2023, 2024),
+    ("marina_bay", "marina_bay", 4927, 2025, None),
+    ("yas_marina_2009", "yas_marina", 5554, 2009, 2020),
+    ("yas_marina", "yas_marina", 5281, 2021, None),
+    ("losail_2004", "losail", 5380, 2004, 2022),
+    ("losail", "losail", 5419, 2023, None),
+    ("red_bull_ring_2016", "red_bull_ring", 4318, 2016, 2024),
+    ("red_bull_ring", "red_bull_ring", 4326, 2025, None),
+)
 # Season, event and layout where one event did not use its circuit's usual layout.
 OVERRIDES = ((2020, "Sakhir Grand Prix", "bahrain_outer", "bahrain", 3543),)
 
 
-def layout_table(spark: SparkSession, text: str = LAYOUTS) -> DataFrame:
-    rows = [line.split() for line in text.strip().splitlines()]
-    data = [(l, c, float(m), int(a), None if z == "-" else int(z)) for l, c, m, a, z in rows]
+def layout_table(spark: SparkSession, rows: tuple = LAYOUTS) -> DataFrame:
+    data = [(layout, circuit, float(metres), first, last) for layout, circuit, metres, first, last in rows]
     return spark.createDataFrame(data, "layout_id string, circuit_id string, length_m double, first_season int, last_season int")
 
 

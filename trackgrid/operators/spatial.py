@@ -24,7 +24,6 @@ HEADING_SPAN_M = 20.0
 MIN_PATH_POINTS = 10
 WINDOW_M = 150.0
 MAX_PROJECTION_OFFSET_M = 10.0
-FRAME_FIT_LAPS = 8
 ICP_ITERATIONS = 30
 ICP_TOLERANCE_M = 1e-3
 MAX_FRAME_RESIDUAL_M = 8.0
@@ -152,42 +151,72 @@ def nearest(points: DataFrame, cloud: DataFrame, keys: Sequence[str], ids: Seque
 
 # ---------------------------------------------------------------- projection
 
+def without_line(samples: DataFrame, line: DataFrame) -> DataFrame:
+    """Laps of sessions that have no line, with the reason."""
+    return samples.select(*LAP).distinct().join(line.select(*SESSION).distinct(), list(SESSION), "left_anti").withColumn("reason", F.lit("no reference line"))
+
+
+class _Follower:
+    """A lap's way along its line: the vertex nearest to each point, within reach of the one before.
+
+    The nearest vertex of the whole line is found for many points at once. If it
+    is within reach it is also the nearest there; only otherwise is the reach searched.
+    """
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, arc: np.ndarray, ahead_m: float, first_m: float):
+        step = float(np.median(np.diff(arc))) if len(arc) > 1 else 0.0
+        vertices = lambda metres: max(4, int(round(metres / (step or 1.0))))
+        self.x, self.y, self.at = x, y, None
+        self.ahead, self.first = vertices(ahead_m), vertices(first_m)
+        self.behind = max(2, self.ahead // 8)
+
+    def reach(self) -> tuple[int, int]:
+        return (0, min(self.first, len(self.x))) if self.at is None else (max(0, self.at - self.behind), min(self.at + self.ahead, len(self.x)))
+
+    def follow(self, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+        out = np.empty(len(px), np.int64)
+        for start in range(0, len(px), 512):
+            part = slice(start, start + 512)
+            apart = (px[part, None] - self.x) ** 2 + (py[part, None] - self.y) ** 2
+            for k, best in enumerate(apart.argmin(1).tolist()):
+                lo, hi = self.reach()
+                self.at = best if lo <= best < hi else lo + int(apart[k, lo:hi].argmin())
+                out[start + k] = self.at
+        return out
+
+
 def ordered_nearest(samples: DataFrame, line: DataFrame, window_m: float = WINDOW_M, seed_span_m: float = LEAD_M, time: str = "session_time") -> DataFrame:
-    """Nearest line vertex per sample, searched in a window that moves forward along the lap.
+    """Nearest line vertex per sample, searched within a reach that moves forward along the lap.
 
-    Each search starts where the last one ended, so a lap is read in order. The
-    rows are sorted by Spark and streamed through the worker with the cursor as
-    the only state: no lap is ever held whole. The line of a session arrives
-    once per lap, in a row ahead of its samples.
+    Each search starts where the last one ended, so a lap is read in order: Spark
+    sorts the rows and the worker streams them. The line of a session arrives
+    once per lap, in a row ahead of its samples. Laps without a line are left
+    out; ``without_line`` names them.
     """
     packed = line.groupBy(*SESSION).agg(F.array_sort(F.collect_list(F.struct("vertex", "x", "y", "arc_m"))).alias("_v"))
     part = lambda c: F.transform("_v", lambda v: v[c].cast("double"))
     packed = packed.select(*SESSION, part("x").alias("vx"), part("y").alias("vy"), part("arc_m").alias("va"))
     head = samples.select(*LAP).distinct().join(packed, list(SESSION)).withColumn("_order", F.lit(0))
-    body = samples.select(*LAP, time, "x", "y").withColumn("_order", F.lit(1))
+    body = samples.join(packed.select(*SESSION), list(SESSION), "left_semi").select(*LAP, time, "x", "y").withColumn("_order", F.lit(1))
     rows = body.unionByName(head, allowMissingColumns=True).repartition(*LAP).sortWithinPartitions(*LAP, "_order", time)
     fields = {f.name: f.dataType.simpleString() for f in samples.schema}
     schema = ", ".join([f"{k} {fields[k]}" for k in (*LAP, time)] + ["vertex long"])
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vertices, cursor, span, back, seed = None, None, 0, 0, 0
+        lap = None
         for batch in batches:
-            found = np.zeros(len(batch), dtype="int64")
-            order, xs, ys = batch["_order"].to_numpy(), batch["x"].to_numpy(dtype=float), batch["y"].to_numpy(dtype=float)
-            for i in range(len(batch)):
-                if order[i] == 0:
-                    row = batch.iloc[i]
-                    vertices = np.column_stack([row["vx"], row["vy"]])
-                    spacing = float(np.median(np.diff(row["va"]))) or 1.0
-                    span = max(4, int(round(window_m / spacing)))
-                    back = max(2, span // 8)
-                    seed, cursor = max(4, int(round((seed_span_m + window_m) / spacing))), None
-                    continue
-                lo, hi = (0, seed) if cursor is None else (max(0, cursor - back), cursor + span)
-                block = vertices[lo:hi]
-                cursor = lo + int(((block - (xs[i], ys[i])) ** 2).sum(axis=1).argmin())
-                found[i] = cursor
-            keep = order == 1
+            heads = np.flatnonzero(batch["_order"].to_numpy() == 0)
+            px, py = batch["x"].to_numpy(dtype=float), batch["y"].to_numpy(dtype=float)
+            found = np.zeros(len(batch), np.int64)
+            edges = [0, *heads.tolist(), len(batch)]
+            for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
+                if k:
+                    row = batch.iloc[lo]
+                    lap = _Follower(*(np.asarray(row[c], float) for c in ("vx", "vy", "va")), window_m, seed_span_m + window_m)
+                    lo += 1
+                if lo < hi:
+                    found[lo:hi] = lap.follow(px[lo:hi], py[lo:hi])
+            keep = batch["_order"].to_numpy() == 1
             yield batch.loc[keep, [*LAP, time]].assign(vertex=found[keep])
 
     return rows.mapInPandas(scan, schema)
@@ -234,8 +263,10 @@ def misprojected(samples: DataFrame, limit: float = MAX_PROJECTION_OFFSET_M, key
 
 # ---------------------------------------------------------------- registration
 
-def first_laps(samples: DataFrame, n: int = FRAME_FIT_LAPS) -> DataFrame:
-    """The samples of each session's first n laps in key order."""
+def first_laps(samples: DataFrame, n: int | None = None) -> DataFrame:
+    """The samples of each session's first n laps in key order, of all laps if none is given."""
+    if n is None:
+        return samples
     # the limit on the rank lets Spark drop the other laps before they are shuffled
     order = Window.partitionBy(*SESSION).orderBy("driver", "lap_number")
     chosen = samples.select(*LAP).distinct().withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n).drop("_n")
@@ -321,9 +352,9 @@ def apply_frame(df: DataFrame, frame: DataFrame, x: str = "x", y: str = "y") ->
     return moved.withColumns({x: c * F.col(x) - s * F.col(y) + F.col("tx"), y: s * F.col(x) + c * F.col(y) + F.col("ty")}).drop("rotation_rad", "tx", "ty")
 
 
-def calibrate(corners: DataFrame, merged: DataFrame, time: str = "session_time") -> tuple[DataFrame, DataFrame]:
-    """(corners in the telemetry's frame, the frames). Fitted on anchor corners only."""
-    cloud = first_laps(merged).select(*SESSION, F.struct("driver", "lap_number", time).alias("pid"), "x", "y")
+def calibrate(corners: DataFrame, merged: DataFrame, time: str = "session_time", laps: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(corners in the telemetry's frame, the frames). Fitted on anchor corners only, against all laps or the first few."""
+    cloud = first_laps(merged, laps).select(*SESSION, F.struct("driver", "lap_number", time).alias("pid"), "x", "y")
     frame = fit_frame(split_corners(corners).filter("anchor"), cloud)
     return apply_frame(corners, frame.filter("reason IS NULL")), frame
 

@@ -162,33 +162,42 @@ def read_session_meta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-free hash of a table's content."""
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor(F.xxhash64(*sorted(df.columns))), F.lit(0)).alias("content"))
+    """Row count and two order-free hashes of a table's content.
+
+    Sums of row hashes count equal rows, and every column is hashed with its
+    null mark, so a value that moves to a null neighbour is seen.
+    """
+    marked = [x for c in sorted(df.columns) for x in (F.col(c), F.col(c).isNull())]
+    total = lambda seed: F.coalesce(F.sum(F.xxhash64(F.lit(seed), *marked).cast("decimal(20,0)")), F.lit(0)).cast("string")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.concat_ws("/", total(1), total(2)).alias("content"))
 
 
 def write_snapshot(df: DataFrame, root: str, table: str, snapshot_date: str, spec: TableSpec | None = None) -> str:
     """Write one dated table once. Writing the same content again is a no-op; other content is an error.
 
     The data is written to a staging folder and renamed, and only then the
-    manifest row is added, so a broken write is never taken for a snapshot.
+    manifest row is added. A published folder without a manifest is what a crash
+    between the two leaves: it is taken if it holds exactly this content.
     """
     spark = df.sparkSession
     path, manifest = f"{root}/{table}/snapshot_date={snapshot_date}", f"{root}/_manifest/{table}/snapshot_date={snapshot_date}"
+    now = tuple(fingerprint(df).first())
     if exists(spark, manifest):
-        known = spark.read.parquet(manifest).first()
-        now = fingerprint(df).first()
-        if (known["rows"], known["content"]) == (now["rows"], now["content"]):
+        if tuple(spark.read.parquet(manifest).select("rows", "content").first()) == now:
             return "unchanged"
         raise IngestError(f"{table} of {snapshot_date} exists with other content; a snapshot is never overwritten")
-    staging = f"{root}/_staging/{table}/snapshot_date={snapshot_date}"
-    df.write.mode("overwrite").parquet(staging)
-    stored = spark.read.schema(df.schema).parquet(staging)
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(Path(f"{root}/{table}"))
-    if not fs.rename(Path(staging), Path(path)):
-        raise IngestError(f"could not publish {path}")
-    fingerprint(spark.read.schema(df.schema).parquet(path)).withColumn("table", F.lit(table)).write.mode("errorifexists").parquet(manifest)
+    if not exists(spark, path):
+        staging = f"{root}/_staging/{table}/snapshot_date={snapshot_date}"
+        df.write.mode("overwrite").parquet(staging)
+        Path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(Path(f"{root}/{table}"))
+        if not fs.rename(Path(staging), Path(path)):
+            raise IngestError(f"could not publish {path}")
+    stored = fingerprint(spark.read.schema(df.schema).parquet(path))
+    if tuple(stored.first()) != now:
+        raise IngestError(f"{path} holds other content and no manifest; remove it and write again")
+    stored.withColumn("table", F.lit(table)).write.mode("errorifexists").parquet(manifest)
     return "written"
 
 
