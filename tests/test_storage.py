@@ -108,3 +108,28 @@ def test_overlay_reads_one_partition_only(spark, root):
 def test_cut_writes_below_the_shared_folder(spark):
     df = cut(spark.range(5), "x")
     assert df.count() == 5 and spark.conf.get("spark.checkpoint.dir", None) is None or spark.conf.get("spark.checkpoint.dir") in df.inputFiles()[0]
+
+
+def test_fingerprint_sees_repeats_and_null_places(spark):
+    from trackgrid.sources.landing import fingerprint
+
+    mark = lambda rows: tuple(fingerprint(spark.createDataFrame(rows, "a int, b int")).first())
+    assert mark([(1, 1), (1, 1)]) != mark([(2, 2), (2, 2)]) and mark([(1, None)]) != mark([(None, 1)])
+    assert mark([(1, 2), (3, 4)]) == mark([(3, 4), (1, 2)]) and mark([]) == mark([])
+
+
+def test_a_crash_before_the_manifest_is_taken_up(spark, tmp_path):
+    import shutil
+
+    import pytest
+
+    from trackgrid.sources.landing import IngestError, verify_snapshot, write_snapshot
+
+    root, df = f"file://{tmp_path}", spark.createDataFrame([(1, None), (1, None), (2, 5)], "a int, b int")
+    assert write_snapshot(df, root, "t", "2024-01-01") == "written" and write_snapshot(df, root, "t", "2024-01-01") == "unchanged"
+    shutil.rmtree(tmp_path / "_manifest")
+    assert write_snapshot(df, root, "t", "2024-01-01") == "written" and verify_snapshot(spark, root, "t", "2024-01-01")
+    assert not [p for p in (tmp_path / "t" / "snapshot_date=2024-01-01").iterdir() if p.is_dir()]
+    shutil.rmtree(tmp_path / "_manifest")
+    with pytest.raises(IngestError):
+        write_snapshot(df.filter("a = 2"), root, "t", "2024-01-01")

@@ -9,17 +9,20 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from trackgrid.keys import SESSION
+from trackgrid.sources.landing import latest_snapshot
 from trackgrid.sources.tables import write_sessions
 
 
 def load_new_snapshots(
-    spark: SparkSession, source: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, source: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, files_per_batch: int | None = None, date: str = "snapshot_date"
 ) -> StreamingQuery:
     """Run every file that is new since the last call through ``transform`` and store the result.
 
     A batch names the sessions it touches; all landed rows of these sessions are
     read again, so a session that arrives in several files is still computed as
     a whole. Its partition is replaced, which makes a repeated batch harmless.
+    Where rows are dated, a session is its latest snapshot: one published again
+    replaces the earlier one instead of adding to it.
     With a source partitioned by session, that read is pruned to the touched partitions.
     The query stops once it has caught up; the checkpoint remembers what was read.
     """
@@ -29,7 +32,9 @@ def load_new_snapshots(
 
     def store(batch: DataFrame, _id: int) -> None:
         touched = batch.select(*SESSION).distinct()
-        landed = batch.sparkSession.read.schema(schema).parquet(source)
-        write_sessions(transform(landed.join(touched, list(SESSION), "left_semi")), target)
+        landed = batch.sparkSession.read.schema(schema).parquet(source).join(touched, list(SESSION), "left_semi")
+        if date in landed.columns:
+            landed = latest_snapshot(landed, SESSION, date).drop(date)
+        write_sessions(transform(landed), target)
 
     return stream.parquet(source).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
