@@ -34,7 +34,7 @@ from trackgrid.llm.words import Numbers, one_row_batches
 from trackgrid.session import cut
 
 MOST_LANGUAGES = 256
-MOST_CACHED = 200_000
+MOST_CACHED = 100_000
 LONGEST_TAUGHT = 64  # characters of a word the fit learns from
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"

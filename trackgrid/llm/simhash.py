@@ -75,18 +75,21 @@ def fingerprints(docs: DataFrame, n: int) -> DataFrame:
 def masks(radius: int, turn: int) -> list[int]:
     """The family's masks as signed longs; ``turn`` deals the vectors to the bits anew."""
     size = (1 << (radius + 1)) - 1
-    bits = np.random.default_rng([7, turn]).permutation(64)
-    vector = {int(b): i % size + 1 for i, b in enumerate(bits)}
+    rng = np.random.default_rng([7, turn])
+    # every vector as often as any other, in random order, so that each mask has about half of the bits
+    vector = np.concatenate([rng.permutation(size) for _ in range(-(-64 // size))])[:64] + 1
     out = []
     for v in range(1, size + 1):
-        mask = sum(1 << b for b in range(64) if bin(vector[b] & v).count("1") % 2)
+        mask = sum(1 << b for b in range(64) if (int(vector[b]) & v).bit_count() % 2)
         out.append(mask - (1 << 64) if mask >> 63 else mask)
     return out
 
 
 def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of a minimum spanning forest of the fingerprints within the radius: the closest are linked first."""
-    apart = np.bitwise_count(fps[:, None] ^ fps[None, :])
+    apart = np.empty((len(fps), len(fps)), np.uint8)
+    for at in range(0, len(fps), 128):
+        apart[at : at + 128] = np.bitwise_count(fps[at : at + 128, None] ^ fps[None, :])
     part, a, b = np.arange(len(fps)), [], []
     for reach in range(1, radius + 1):
         near = apart <= reach
