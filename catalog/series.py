@@ -301,9 +301,9 @@ CTES["bests"] = f"SELECT season, round, session_code, driver, arg_min(lap_number
 
 
 @query("ser17_delta_driver_best", L + "grid_index:i delta_t_s:d reference:s", f"""
-SELECT c.season, c.round, c.session_code, c.driver, c.lap_number, c.grid_index, c.t_s - r.t_s AS delta_t_s, c.driver || ' L' || best AS reference
-FROM curves c JOIN bests USING (season, round, session_code, driver)
-LEFT JOIN curves r ON r.season = c.season AND r.round = c.round AND r.session_code = c.session_code AND r.driver = c.driver AND r.lap_number = best AND r.grid_index = c.grid_index""")
+WITH own AS MATERIALIZED (SELECT {K}, best, grid_index, t_s FROM curves JOIN bests USING (season, round, session_code, driver)),
+ref AS MATERIALIZED (SELECT season, round, session_code, driver, lap_number AS best, grid_index, t_s AS ref_s FROM curves)
+SELECT {K}, grid_index, t_s - ref_s AS delta_t_s, driver || ' L' || best AS reference FROM own LEFT JOIN ref USING (season, round, session_code, driver, best, grid_index)""")
 def _(b):
     own = M.accurate_lap_times(b.laps()).select(*SESSION, "driver").distinct()
     laps = S.lap_lengths(grid(b)).join(own, [*SESSION, "driver"], "left_semi")
@@ -339,10 +339,11 @@ SELECT {K}, n_points, unnest([-25.0, 0.0, 333.3, 1500.0, 2100.0])::DOUBLE AS x F
 
 
 @query("ser20_time_at_distance", L + "target_m:d at_time_s:d", f"""
-WITH q AS (SELECT *, greatest(0, least(CAST(floor(x / 10.0) AS BIGINT), n_points - 1)) AS i FROM targets)
-SELECT {', '.join('q.' + k for k in LAP)}, x AS target_m, CASE WHEN x < 0 THEN a.t_s - (0 - x) / a.speed_ms WHEN z.t_s IS NULL THEN a.t_s + (x - i * 10.0) / a.speed_ms
-  ELSE (z.t_s - a.t_s) / 10.0 * (x - i * 10.0) + a.t_s END AS at_time_s
-FROM q JOIN curves a ON {JOIN('q', 'a')} AND a.grid_index = i LEFT JOIN curves z ON {JOIN('q', 'z')} AND z.grid_index = i + 1""")
+WITH q AS MATERIALIZED (SELECT *, i + 1 AS j FROM (SELECT *, greatest(0, least(CAST(floor(x / 10.0) AS BIGINT), n_points - 1)) AS i FROM targets)),
+a AS MATERIALIZED (SELECT {K}, grid_index AS i, t_s, speed_ms FROM curves), z AS MATERIALIZED (SELECT {K}, grid_index AS j, t_s AS next_s FROM curves)
+SELECT {K}, x AS target_m, CASE WHEN x < 0 THEN t_s - (0 - x) / speed_ms WHEN next_s IS NULL THEN t_s + (x - i * 10.0) / speed_ms
+  ELSE (next_s - t_s) / 10.0 * (x - i * 10.0) + t_s END AS at_time_s
+FROM q JOIN a USING ({K}, i) LEFT JOIN z USING ({K}, j)""")
 def _(b):
     asked = S.lap_lengths(grid(b)).select(*LAP, F.explode(F.array(*[F.lit(x) for x in (-25.0, 0.0, 333.3, 1500.0, 2100.0)])).alias("target_m"))
     return S.time_at_distance(curves(b), asked)

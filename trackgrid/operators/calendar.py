@@ -41,14 +41,16 @@ def _start(date: Column, time: Column) -> Column:
 
 
 def event_table(races: DataFrame) -> DataFrame:
-    """One row per round: the event and where it was held."""
+    """One row per round: the event and where it was held; of differing rows the smallest."""
     number = lambda c: c.try_cast("double")
     place = F.col("Circuit")["Location"]
-    return races.select(
+    rows = races.select(
         F.col("season").cast("int").alias("season"), F.col("round").cast("int").alias("round"), F.col("raceName").alias("event_name"),
         F.col("Circuit")["circuitId"].alias("circuit_id"), F.col("Circuit")["circuitName"].alias("circuit_name"), place["locality"].alias("locality"),
         place["country"].alias("country"), number(place["lat"]).alias("lat"), number(place["long"]).alias("lon"), F.col("date").alias("race_date"), F.col("url").alias("wikipedia_url"),
-    ).dropDuplicates(["season", "round"])
+    )
+    rest = rows.columns[2:]
+    return rows.groupBy("season", "round").agg(F.min(F.struct(*rest)).alias("_row")).select("season", "round", *[F.col("_row")[c].alias(c) for c in rest])
 
 
 def session_schedule(races: DataFrame) -> DataFrame:
