@@ -81,8 +81,8 @@ def _(b):
 
 @query("src08_tagged_samples", "driver:s lap_number:i rows:i no_status:i", "SELECT 'A' || lap_number AS driver, lap_number, count(*) AS rows, count(*) AS no_status FROM tele GROUP BY ALL")
 def _(b):
-    part = lambda n: b.tele().filter(F.col("lap_number") == n).select(F.col("session_time").alias("SessionTime"), *([F.col("speed").alias("Speed")] if n == 1 else []))
-    tagged = I.tag_samples({(f"A{n}", n): part(n) for n in range(1, 5)})
+    rows = b.tele().select(F.col("session_time").alias("SessionTime"), F.col("speed").alias("Speed"), "lap_number")
+    tagged = I.tag_samples(rows, F.concat(F.lit("A"), F.col("lap_number")), F.col("lap_number"))
     return tagged.groupBy(F.col("_driver").alias("driver"), F.col("_lap_number").alias("lap_number")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("Status").isNull()).alias("no_status"))
 
 

@@ -102,13 +102,13 @@ def orphans(samples: DataFrame, laps: DataFrame) -> DataFrame:
     return samples.select(*LAP).distinct().join(laps.select(*LAP).distinct(), list(LAP), "left_anti")
 
 
-def tag_samples(frames: Mapping[tuple[str, int], DataFrame]) -> DataFrame:
-    """Per-lap source frames put together, each row tagged with driver and lap; absent Source and Status are filled."""
-    out = None
-    for (driver, lap), df in frames.items():
-        tagged = df.withColumn("_driver", F.lit(driver)).withColumn("_lap_number", F.lit(lap))
-        out = tagged if out is None else out.unionByName(tagged, allowMissingColumns=True)
-    return with_defaults(out)
+def tag_samples(rows: DataFrame, driver: Column, lap: Column) -> DataFrame:
+    """Source rows of all laps, each tagged with its driver and lap; absent Source and Status are filled.
+
+    The laps are one table, whose partition or file columns say whose a row is, so
+    the plan does not grow with their number.
+    """
+    return with_defaults(rows.withColumn("_driver", driver).withColumn("_lap_number", lap))
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
