@@ -25,10 +25,13 @@ from trackgrid.llm.words import LOWER, UPPER
 from trackgrid.session import cut, shared_dir
 
 LEAST = -(2**63)
-#: The state lies in RocksDB files; without space set aside ahead, so many small stores stay small.
+#: The state lies in RocksDB files; no space is set aside ahead, and an executor's stores share a bounded cache,
+#: so many small stores stay small on disk and in memory.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
 }
 
 

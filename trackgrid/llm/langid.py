@@ -34,7 +34,7 @@ from trackgrid.llm.words import Numbers, one_row_batches
 from trackgrid.session import cut
 
 MOST_LANGUAGES = 256
-MOST_CACHED = 100_000
+MOST_CACHED = 60_000
 LONGEST_TAUGHT = 64  # characters of a word the fit learns from
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -262,7 +262,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in one_row_batches(batches):
+        for batch in one_row_batches(batches, 1 << 20):
             texts = batch.column(at).to_pylist()
             if model.languages:
                 logs, letter = scorer(model).texts(texts)
