@@ -286,7 +286,7 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else ids
 
 
-def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 6, size: int = 1024, every: int = 24) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 6, size: int = 1024, every: int = 8) -> DataFrame:
     """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
 
     A group is connected by pairs whose sets of n-word shingles are alike by
