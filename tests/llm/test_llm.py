@@ -362,6 +362,54 @@ def test_near_dedup_keeps_one_of_alike_texts(clash, rows):
     assert len(got) < len(sets)
 
 
+def brute_near(rows, n=5, similarity=0.8):
+    """The rows (doc_id, text) that near_dedup keeps, by all pairs."""
+    sets = {}
+    for i, t in rows:
+        w = words(t, lower=True)
+        sets[i, t] = frozenset(tuple(w[k : k + n]) for k in range(len(w) - n + 1)) or frozenset([tuple(w)] if w else [])
+    keys = [k for k in sets if k[0] is not None]
+    part = dict(zip(keys, keys, strict=True))
+
+    def find(a):
+        while part[a] != a:
+            a = part[a]
+        return a
+
+    for x, a in enumerate(keys):
+        for b in keys[:x]:
+            both, one, two = len(sets[a] & sets[b]), len(sets[a]), len(sets[b])
+            if one == two == 0 or one + two and both / (one + two - both) >= similarity:
+                part[find(a)] = find(b)
+    least = {}
+    for k in keys:
+        least[find(k)] = min(k[0], least.get(find(k), k[0]))
+    return {k for k in sets if k[0] is None or least[find(k)] == k[0]}
+
+
+def near_kept(spark, rows):
+    frame = ship(spark).createDataFrame([(*r, None, None, None) for r in rows], SCHEMA).repartition(3)
+    return {(r["doc_id"], r["text"]) for r in simhash.keep_one(frame).collect()}
+
+
+def test_near_dedup_finds_each_kind_of_edit(spark):
+    rng = random.Random(11)
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    made = []
+    for size in (40, 120, 400):
+        for _ in range(12):
+            base = new(size)
+            less = int(size * 0.16)
+            some = list(base)
+            for k in rng.sample(range(size), max(1, size // 50)):
+                some[k] = new(1)[0]
+            made += [base, base + new(less), base[less:], base[: size - less], some, base + new(size // 3)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(made)]
+    rng.shuffle(rows)
+    want = brute_near(rows)
+    assert near_kept(spark, rows) == want and len(want) < len(rows) / 2
+
+
 # -- op8
 
 

@@ -16,17 +16,18 @@ by alternating large and small stars over the links of distinct fingerprints.
 Defined results: a text without words has fingerprint zero; a text shorter than
 a shingle is one shingle; a null doc_id links but names no component; repeated
 rows share a fingerprint; an empty table gives no rows.
+
+Near-duplicates (``keep_one``) do not come from fingerprints, see there.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackgrid.llm.words import Spans, one_row_batches
@@ -35,8 +36,10 @@ from trackgrid.session import cut
 SEED = 42
 LARGEST = 2048
 ROUNDS = 5
-AT_MOST = 5  # times a word counts for the candidates of near duplicates
-MOST_BROADCAST = 500_000  # rows of one long
+SAMPLE = 5_000  # documents that tell which shingles are common
+MOST_COMMON = 200_000  # common shingles that are named
+BLOCK = 4_096  # texts of a crowd that meet in one task
+MOST_BROADCAST = 500_000  # rows of three longs
 
 
 def fingerprint(words: list[bytes], n: int) -> int:
@@ -113,12 +116,7 @@ def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return fps[a].view(np.int64), fps[b].view(np.int64)
 
 
-def all_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= radius, 1))
-    return fps[a].view(np.int64), fps[b].view(np.int64)
-
-
-def bucket_links(rows: DataFrame, radius: int, last: bool, every: int = 0) -> DataFrame:
+def bucket_links(rows: DataFrame, radius: int, last: bool) -> DataFrame:
     """From (path, key, fp): links (path -1, a, b) and rows of too large buckets (path, fp, fp)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +140,7 @@ def bucket_links(rows: DataFrame, radius: int, last: bool, every: int = 0) -> Da
                 if n > LARGEST and not last:
                     gone.append(np.arange(s, s + n))
                 else:
-                    links = (all_links if n <= every else forest)(fp[s : s + n].view(np.uint64), radius)
+                    links = forest(fp[s : s + n].view(np.uint64), radius)
                     a.append(links[0])
                     b.append(links[1])
             a, b = np.concatenate(a), np.concatenate(b)
@@ -179,11 +177,8 @@ def bucket_links(rows: DataFrame, radius: int, last: bool, every: int = 0) -> Da
     return dealt.mapInArrow(run, "path long, a long, b long")
 
 
-def links(classes: DataFrame, radius: int, every: int = 0) -> DataFrame:
-    """Distinct links (a, b), a < b, that connect all fingerprints within the radius of each other.
-
-    Buckets of at most ``every`` fingerprints give all their links, others a minimum spanning forest.
-    """
+def links(classes: DataFrame, radius: int) -> DataFrame:
+    """Distinct links (a, b), a < b, that connect all fingerprints within the radius of each other."""
     size = (1 << (radius + 1)) - 1
     found, rows, chosen = [], classes.select(F.lit(0).cast("long").alias("path"), "fp"), [0]
     fixed = {0: 0}  # path -> bits that all rows of it share by value
@@ -196,7 +191,7 @@ def links(classes: DataFrame, radius: int, every: int = 0) -> DataFrame:
             table = F.transform(table, lambda m: m.bitwiseOR(F.col("mask")))
         spread = (rows if turn else rows.withColumn("mask", F.lit(0).cast("long"))).select("path", "fp", F.posexplode(table).alias("v", "mask"))
         spread = spread.select((F.col("path") * (size + 1) + F.col("v") + 1).alias("path"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
-        step = cut(bucket_links(spread, radius, turn == ROUNDS - 1, every), "simhash-links")
+        step = cut(bucket_links(spread, radius, turn == ROUNDS - 1), "simhash-links")
         found.append(step.filter("path = -1"))
         again = step.filter("path >= 0")
         chosen = [r["path"] for r in again.select("path").distinct().collect()]  # at most the paths of the rounds so far
@@ -244,41 +239,76 @@ def grouped(docs: DataFrame, n: int = 4, radius: int = 4) -> DataFrame:
     return fps.join(cut(named, "simhash-named"), "fp")
 
 
-def sketch(hashes: np.ndarray, size: int) -> bytes:
-    """The smallest distinct hashes: all of a short text's shingles, a uniform sample of a long one's."""
-    return np.unique(hashes >> np.uint64(32)).astype(np.uint32)[:size].tobytes()
+def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of each text's n-word shingles; a shorter text is one shingle, one without words has none."""
+    spans = Spans(texts)
+    words, first = spans.words(lower=True), spans.first.tolist()
+    h = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+    many = max(0, len(h) - n + 1)
+    s = h[:many].copy()
+    for i in range(1, n):
+        s ^= s >> np.uint64(29)
+        s *= np.uint64(0x9E3779B97F4A7C15)
+        s += h[i : i + many]
+    s ^= s >> np.uint64(32)
+    s *= np.uint64(0xD6E8FEB86659FD93)
+    s ^= s >> np.uint64(32)
+    short = lambda a, b: np.array([xxhash.xxh64_intdigest(b" ".join(words[a:b]), SEED + 1)] if b > a else [], np.uint64)
+    return [np.unique(s[a : b - n + 1]) if b - a >= n else short(a, b) for a, b in zip(first, first[1:])]
+
+
+def jaccard(x: bytes, y: bytes) -> float:
+    """Of two sorted sets of hashes, all of them compared; two empty sets are alike."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
 
-def overlap(x: bytes, y: bytes, size: int) -> float:
-    """Jaccard similarity from two sketches; exact where neither is full."""
-    a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-    both = np.union1d(a, b)
-    if len(a) == size or len(b) == size:
-        both = both[:size]
-    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).mean()) if len(both) else 1.0
+def needed(size: int, similarity: float) -> int:
+    """How many shingles any set that is alike must share with a set of this size."""
+    return int(np.ceil(similarity * size - 1e-9))
 
 
-def signatures(docs: DataFrame, n: int, size: int) -> DataFrame:
-    """doc_id, mark, the fingerprint of the single words and the sketch of the n-word shingles."""
+def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that several documents of a sample have, and in how many; the order of shingles follows them, no result does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in one_row_batches([batch]):
+                yield from pa.table({"shingle": pa.array(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column(0), n)]).view(np.int64))}).to_batches()
+
+    every = max(1, docs.count() // SAMPLE)
+    text = F.col("text").cast("string").alias("text")
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select(text).mapInArrow(run, "shingle long")
+    rows = some.groupBy("shingle").count().filter("count > 1").orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).toArrow()
+    found, times = rows["shingle"].to_numpy().view(np.uint64), rows["count"].to_numpy()
+    order = np.argsort(found)
+    return found[order], times[order]
+
+
+def prefixes(docs: DataFrame, n: int, similarity: float) -> DataFrame:
+    """doc_id, mark, whole (a hash of the set of shingles), size and the set's prefix, rare shingles first."""
     kind = dict(docs.dtypes)["doc_id"]
+    common, times = common_shingles(docs, n)
+
+    def prefix(s: np.ndarray) -> np.ndarray:
+        if len(common) and len(s):
+            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+            s = s[np.argsort(np.where(common[at] == s, times[at], 0), kind="stable")]
+        return s[: len(s) - needed(len(s), similarity) + 1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
         for batch in one_row_batches(batches):
-            spans = Spans(batch.column(1))
-            words, first = spans.words(lower=True), spans.first.tolist()
-            fps, sketches = [], []
-            for a, b in zip(first, first[1:]):
-                here = words[a:b]
-                fps.append(fingerprint([w for w, k in Counter(here).items() for _ in range(min(k, AT_MOST))], 1))
-                parts = [b" ".join(here[i : i + n]) for i in range(len(here) - n + 1)] or ([b" ".join(here)] if here else [])
-                sketches.append(sketch(np.array([digest(x, SEED) for x in parts], np.uint64), size))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sketches, pa.binary())], names=["doc_id", "mark", "fp", "sketch"]
-            )
+            sets = shingle_sets(batch.column(1), n)
+            whole = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
+            heads = [prefix(s) for s in sets]
+            ends = np.cumsum([0, *map(len, heads)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *heads]).view(np.int64)))
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(whole), sizes, lists], names=["doc_id", "mark", "whole", "size", "prefix"])
 
     text = F.col("text").cast("string")
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, fp long, sketch binary")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, whole long, size int, prefix array<long>")
 
 
 def small(ids: DataFrame) -> DataFrame:
@@ -286,34 +316,112 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else ids
 
 
-def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 6, size: int = 1024, every: int = 8) -> DataFrame:
-    """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
+def alike_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of sets whose Jaccard similarity, from all their shingles, is enough."""
 
-    A group is connected by pairs whose sets of n-word shingles are alike by
-    ``similarity`` (Jaccard, from sketches of ``size`` hashes). Candidates are
-    links of fingerprints within the radius; these are made of single words, each
-    counted at most ``AT_MOST`` times so that common words do not outweigh the rest,
-    because one changed word changes n shingles but one word, so pairs that are
-    alike by 0.8 lie within a few bits. All links of a bucket of at most ``every``
-    fingerprints are checked, of a larger one its minimum spanning forest. Rows without a doc_id stay, because
-    nothing can name them, and rows that repeat a doc_id and text stay together.
-    """
-    held = cut(signatures(docs.filter(F.col("doc_id").isNotNull()), n, size), "simhash-signatures")
-    classes = cut(held.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    by = lambda side: classes.select(F.col("fp").alias(side), F.col("least").alias(f"{side}_id"))
-    across = links(classes, radius, every).join(by("a"), "a").join(by("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    within = held.join(classes, "fp").filter("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    pairs = cut(across.unionByName(within).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-pairs")
-    ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "simhash-ends")
-    texts = cut(held.join(small(ends), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("sketch").alias("sketch")), "simhash-sketches")
-    side = lambda k: texts.select(F.col("doc_id").alias(k), F.col("sketch").alias(f"{k}_sketch"))
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in one_row_batches(batches):
+            found = [s.tobytes() for s in shingle_sets(batch.column(1), n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["whole", "shingles"])
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in one_row_batches(batches, 32 << 20):
+            ok = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("whole")).distinct()
+    named = small(cut(reps.join(ends, "whole"), "near-ends")).select("whole", F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark"))
+    text = F.col("text").cast("string")
+    texts = docs.select("doc_id", text.alias("text")).join(named, (F.col("doc_id") == F.col("__doc_id")) & (F.xxhash64("text") == F.col("__mark")))
+    # rows may repeat a doc_id and text
+    texts = cut(texts.select("whole", "text").mapInArrow(sets, "whole long, shingles binary").groupBy("whole").agg(F.first("shingles").alias("shingles")), "near-sets")
+    side = lambda k: texts.select(F.col("whole").alias(k), F.col("shingles").alias(f"{k}_set"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set").mapInArrow(alike, "a long, b long")
+
+
+def possible(size: np.ndarray, at: np.ndarray, other_size: np.ndarray, other_at: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets whose first common shingle has these places in their order can share enough."""
+    return np.minimum(size - at, other_size - other_at) >= similarity / (1 + similarity) * (size + other_size) - 1e-6
+
+
+def cross_pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of each crowd that lie in different components, without those of its hub, which were compared before.
+
+    A crowd beyond ``BLOCK`` is dealt in blocks; any two blocks meet in a task.
+    """
+
+    def solve(v: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        n, mixed = len(v["whole"]), v["lo"][0] != v["hi"][0]
+        for x in range(0, n, 512) if (v["root"] != v["root"][0]).any() else ():
+            one = slice(x, x + 512)
+            ok = (v["whole"][one, None] < v["whole"][None]) & (v["root"][one, None] != v["root"][None])
+            ok &= v["whole"][one, None] != v["hub"][0]
+            if mixed:
+                ok &= v["block"][one, None] != v["block"][None]
+            i, j = np.nonzero(ok)
+            i += x
+            ok = possible(v["size"][i], v["at"][i], v["size"][j], v["at"][j], similarity)
+            yield pa.RecordBatch.from_arrays([pa.array(v["whole"][i[ok]]), pa.array(v["whole"][j[ok]])], names=["a", "b"])
+
+    names = ["shingle", "lo", "hi", "block", "hub", "whole", "root", "size", "at"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
         for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            ok = np.array([overlap(p, q, size) >= similarity for p, q in zip(x, y, strict=True)], bool)
-            yield batch.select([0, 1]).filter(pa.array(ok))
+            new = {k: batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i, k in enumerate(names)}
+            held = {k: np.concatenate([held[k], new[k]]) for k in names} if held else new
+            change = np.any([held[k][1:] != held[k][:-1] for k in names[:3]], axis=0)
+            ends = np.concatenate([[0], np.flatnonzero(change) + 1]).astype(int)
+            for a, b in zip(ends.tolist(), ends[1:].tolist()):
+                if b - a > 1:
+                    yield from solve({k: held[k][a:b] for k in names})
+            held = {k: held[k][ends[-1] :] for k in names}
+        if held and len(held["whole"]) > 1:
+            yield from solve(held)
+
+    blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("whole"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("*", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).select(*names)
+    return dealt.repartition("shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
+
+
+def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
 
-    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_sketch", "b_sketch").mapInArrow(alike, "a long, b long")
-    gone = small(cut(components(near).select(F.col("node").alias("__doc_id")), "simhash-gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__doc_id"], "left_anti")
+    A group is connected by pairs whose sets of n-word shingles are alike by
+    ``similarity`` (Jaccard of all shingles). No such pair is missed: in any
+    order of all shingles, two alike sets have a shingle in common among the
+    first ``size - needed + 1`` of each. Shingles that a sample finds common come last,
+    which makes few sets meet; it has no part in the result.
+
+    Sets that meet in a shingle are a crowd. Each is compared with its crowd's
+    least, its hub; then all pairs of a crowd that are not yet connected are
+    compared. Equal sets are one from the start. Rows without a doc_id stay, because
+    nothing can name them, and rows that repeat a doc_id and text stay together.
+    """
+    named = docs.filter(F.col("doc_id").isNotNull())
+    held = cut(prefixes(named, n, similarity), "near-prefixes")
+    reps = cut(held.groupBy("whole").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("whole", "r.doc_id", "r.mark"), "near-classes")
+    rows = held.select("whole", "size", F.posexplode("prefix").alias("at", "shingle"))
+    own = Window.partitionBy("shingle")
+    crowd = F.count(F.lit(1)).over(own).alias("crowd")
+    rows = rows.select("*", crowd, F.min("whole").over(own).alias("hub"), F.max("whole").over(own).alias("last")).filter("hub < last")
+    crowds = cut(rows.drop("last").distinct(), "near-crowds")
+
+    sizes = cut(crowds.select("whole", "size").distinct(), "near-sizes")
+    pairs = crowds.filter("hub < whole").select(F.col("hub").alias("a"), F.col("whole").alias("b"), F.col("size").alias("b_size")).distinct()
+    pairs = pairs.join(sizes.select(F.col("whole").alias("a"), F.col("size").alias("a_size")), "a")
+    pairs = pairs.filter(F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6)
+    near = cut(alike_pairs(cut(pairs.select("a", "b"), "near-pairs"), reps, named, n, similarity), "near-links")
+    joined = components(near).withColumnRenamed("node", "whole")
+    rooted = crowds.join(joined, "whole", "left").withColumn("root", F.coalesce("root", "whole"))
+    more = cut(cross_pairs(rooted, similarity), "near-pairs")
+    near = near.unionByName(alike_pairs(more, reps, named, n, similarity))
+
+    joined = components(near).withColumnRenamed("node", "whole")
+    grouped_ = cut(reps.join(joined, "whole", "left").select("whole", "doc_id", F.coalesce("root", "whole").alias("root")), "near-roots")
+    least = grouped_.groupBy("root").agg(F.min("doc_id").alias("least"))
+    kept = cut(grouped_.join(least, "root").select("whole", "least"), "near-least")
+    gone = held.select("doc_id", "mark", "whole").join(kept, "whole").filter("doc_id > least").select(F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark")).distinct()
+    gone = small(cut(gone, "near-gone"))
+    return docs.join(gone, (docs["doc_id"] == gone["__doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__mark"]), "left_anti")
