@@ -410,6 +410,25 @@ def test_near_dedup_finds_each_kind_of_edit(spark):
     assert near_kept(spark, rows) == want and len(want) < len(rows) / 2
 
 
+def test_near_dedup_checks_all_pairs_of_a_crowd(spark, monkeypatch):
+    rng = random.Random(12)
+    new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    made = []
+    for _ in range(3):  # a template with fields: many texts that lie around 0.8
+        template = new(90)
+        for _ in range(40):
+            t = list(template)
+            at, n = rng.randrange(80), rng.randint(2, 9)
+            t[at : at + n] = new(n)
+            made.append(t)
+    rows = [(i, " ".join(t)) for i, t in enumerate(made)]
+    rng.shuffle(rows)
+    want = brute_near(rows)
+    assert near_kept(spark, rows) == want and 3 < len(want) < len(rows)
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    assert near_kept(spark, rows) == want
+
+
 # -- op8
 
 

@@ -269,6 +269,11 @@ def needed(size: int, similarity: float) -> int:
     return int(np.ceil(similarity * size - 1e-9))
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Of each of 1,024 parts of the hash range, whether the set has an odd number of hashes there."""
+    return np.packbits(np.bincount((s & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).tobytes()
+
+
 def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that several documents of a sample have, and in how many; the order of shingles follows them, no result does."""
 
@@ -287,7 +292,7 @@ def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """doc_id, mark, whole (a hash of the set of shingles), size and the set's prefix, rare shingles first."""
+    """doc_id, mark, whole (a hash of the set of shingles), size, parity and the set's prefix, rare shingles first."""
     kind = dict(docs.dtypes)["doc_id"]
     common, times = common_shingles(docs, n)
 
@@ -304,11 +309,11 @@ def prefixes(docs: DataFrame, n: int, similarity: float) -> DataFrame:
             heads = [prefix(s) for s in sets]
             ends = np.cumsum([0, *map(len, heads)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *heads]).view(np.int64)))
-            sizes = pa.array([len(s) for s in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(whole), sizes, lists], names=["doc_id", "mark", "whole", "size", "prefix"])
+            sizes, odd = pa.array([len(s) for s in sets], pa.int32()), pa.array([parity(s) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(whole), sizes, odd, lists], names=["doc_id", "mark", "whole", "size", "odd", "prefix"])
 
     text = F.col("text").cast("string")
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, whole long, size int, prefix array<long>")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, whole long, size int, odd binary, prefix array<long>")
 
 
 def small(ids: DataFrame) -> DataFrame:
@@ -317,7 +322,18 @@ def small(ids: DataFrame) -> DataFrame:
 
 
 def alike_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of sets whose Jaccard similarity, from all their shingles, is enough."""
+    """The pairs (a, b) of sets whose Jaccard similarity, from all their shingles, is enough.
+
+    Sets differ in at least as many shingles as their parities in bits, so most
+    pairs that are not alike go before any set is read.
+    """
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 16) for i in (2, 3)]
+            size = batch.column(4).to_numpy(zero_copy_only=False)
+            ok = np.bitwise_count(bits[0] ^ bits[1]).sum(1) <= (1 - similarity) / (1 + similarity) * size + 1e-6
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches):
@@ -329,12 +345,16 @@ def alike_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, simi
             ok = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
+    side = lambda k: reps.select(F.col("whole").alias(k), F.col("odd").alias(f"{k}_odd"), F.col("size").alias(f"{k}_size"))
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_odd", "b_odd", F.col("a_size") + F.col("b_size"))
+    pairs = cut(pairs.mapInArrow(close, "a long, b long"), "near-close")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("whole")).distinct()
     named = small(cut(reps.join(ends, "whole"), "near-ends")).select("whole", F.col("doc_id").alias("__doc_id"), F.col("mark").alias("__mark"))
     text = F.col("text").cast("string")
     texts = docs.select("doc_id", text.alias("text")).join(named, (F.col("doc_id") == F.col("__doc_id")) & (F.xxhash64("text") == F.col("__mark")))
-    # rows may repeat a doc_id and text
-    texts = cut(texts.select("whole", "text").mapInArrow(sets, "whole long, shingles binary").groupBy("whole").agg(F.first("shingles").alias("shingles")), "near-sets")
+    texts = cut(texts.select("whole", "text").mapInArrow(sets, "whole long, shingles binary").withColumn("row", F.monotonically_increasing_id()), "near-sets")
+    one = small(cut(texts.groupBy("whole").agg(F.min("row").alias("row")).select("row"), "near-rows"))  # rows may repeat a doc_id and text
+    texts = texts.join(one, "row", "left_semi")
     side = lambda k: texts.select(F.col("whole").alias(k), F.col("shingles").alias(f"{k}_set"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_set", "b_set").mapInArrow(alike, "a long, b long")
 
@@ -401,7 +421,8 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     """
     named = docs.filter(F.col("doc_id").isNotNull())
     held = cut(prefixes(named, n, similarity), "near-prefixes")
-    reps = cut(held.groupBy("whole").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("whole", "r.doc_id", "r.mark"), "near-classes")
+    reps = held.groupBy("whole").agg(F.min(F.struct("doc_id", "mark", "size", "odd")).alias("r"))
+    reps = cut(reps.select("whole", "r.*"), "near-classes")
     rows = held.select("whole", "size", F.posexplode("prefix").alias("at", "shingle"))
     own = Window.partitionBy("shingle")
     crowd = F.count(F.lit(1)).over(own).alias("crowd")
