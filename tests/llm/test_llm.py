@@ -429,6 +429,21 @@ def test_near_dedup_checks_all_pairs_of_a_crowd(spark, monkeypatch):
     assert near_kept(spark, rows) == want
 
 
+def test_near_dedup_compares_whole_sets_of_equal_words(spark):
+    rng = random.Random(13)
+    made = []
+    for _ in range(8):  # the same words in three orders; the second and third are alike
+        base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        other = rng.sample(base, len(base))
+        made += [base, other, [*other[3:], *other[:3]]]
+    for size in (3000, 5000):  # 0.8 and a little less, which 1,024 hashes cannot tell apart
+        for drop in (-3, -1, 0, 1, 3):
+            base = [f"w{rng.randrange(10**6)}" for _ in range(size + 4)]
+            made += [base, base[: int(size * 0.8) + drop + 4]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(made)]
+    assert near_kept(spark, rows) == brute_near(rows)
+
+
 # -- op8
 
 
