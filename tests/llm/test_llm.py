@@ -444,6 +444,15 @@ def test_near_dedup_compares_whole_sets_of_equal_words(spark):
     assert near_kept(spark, rows) == brute_near(rows)
 
 
+def test_near_dedup_stage_equals_brute_force(spark, sf, rows):
+    frame = ship(spark).read.parquet(f"{sf}/documents.parquet")
+    kept = corpus_pipeline.near_dedup(spark, frame, sf)
+    every = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    assert {(r["doc_id"], r["text"]) for r in kept.collect()} == brute_near(every)
+    few = [(i, t) for i, t, *_ in rows]
+    assert near_kept(spark, few) == brute_near(few)
+
+
 # -- op8
 
 
