@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trackgrid.llm import ann, exact, langid, lm, mix, pack, simhash, substring, toxicity, urls
+from trackgrid.llm import ann, conversations, exact, langid, licenses, lm, mix, pack, runs, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
 from trackgrid.llm.words import LOWER, UPPER, bucket
 
@@ -76,6 +76,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", F.col("group_size").cast("long"), "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.labelled(licenses.find_notices(table(spark, sf_dir, "documents")))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", runs.damaged().alias("text"))
+    return runs.digests(runs.find_runs(docs))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report(rows, conversations.repair(conversations.damaged(rows)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_pack": op2_pack,
@@ -87,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_url_rules": op9_url_rules,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_licenses": op11_licenses,
+    "op12_runs": op12_runs,
+    "op13_conversations": op13_conversations,
     "pipeline": corpus_pipeline.run,
 }
 
