@@ -103,7 +103,7 @@ def _(b):
     e = b.table("embeddings").select("vec_id", "label", F.col("embedding")[2].cast("double").alias("x"), F.col("embedding")[3].cast("double").alias("y"))
     top = e.agg((F.max("label") + 1).alias("n"))
     pts = e.join(top, F.col("n") > F.col("label")).select("vec_id", ((F.col("label") + 1) % F.col("n")).alias("label"), F.col("x").alias("px"), F.col("y").alias("py"))
-    return nearest(pts, e.withColumnRenamed("vec_id", "other"), ["label"], ["vec_id"], "other", (0.05, 0.3)).withColumnRenamed("idx", "nearest_id")
+    return nearest(pts, e.withColumnRenamed("vec_id", "other"), ["label"], ["vec_id"], "other").withColumnRenamed("idx", "nearest_id")
 
 
 @query("jon09_nearest_on_line", "l_orderkey:i p:d nearest:d", """

@@ -40,6 +40,24 @@ p AS (SELECT g.season, g.round, g.session_code, k AS vertex, CASE WHEN arc1 IS N
  FROM g ASOF JOIN s ON g.season = s.season AND g.round = s.round AND g.session_code = s.session_code AND g.target >= s.arc)
 SELECT {KS}, vertex, x, y, coalesce(sum(hop) OVER (PARTITION BY {KS} ORDER BY vertex), 0) - 60.0 AS arc_m FROM (SELECT *, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS hop FROM p WINDOW w AS (PARTITION BY {KS} ORDER BY vertex))"""
 
+# the search along a lap: from an eighth of the window behind the last vertex to the window ahead, the first in lead and window
+CTES["follow"] = f"""
+WITH RECURSIVE l AS MATERIALIZED (SELECT {KS}, vertex, x, y, CAST(round(150.0 / sp) AS BIGINT) AS ahead, CAST(round(210.0 / sp) AS BIGINT) AS first FROM rline JOIN
+  (SELECT {KS}, (max(arc_m) - min(arc_m)) / (count(*) - 1) AS sp FROM rline GROUP BY ALL) {US}),
+s AS MATERIALIZED (SELECT {K}, session_time, x, y, row_number() OVER (PARTITION BY {K} ORDER BY session_time) AS i FROM merged),
+w AS (SELECT {K}, i, arg_min(vertex, ((l.x - s.x) ** 2 + (l.y - s.y) ** 2, vertex)) AS vertex FROM s JOIN l {US} WHERE i = 1 AND vertex < first GROUP BY ALL
+ UNION ALL SELECT w.season, w.round, w.session_code, w.driver, w.lap_number, s.i, arg_min(l.vertex, ((l.x - s.x) ** 2 + (l.y - s.y) ** 2, l.vertex)) FROM w
+ JOIN s ON s.season = w.season AND s.round = w.round AND s.session_code = w.session_code AND s.driver = w.driver AND s.lap_number = w.lap_number AND s.i = w.i + 1
+ JOIN l ON l.season = w.season AND l.round = w.round AND l.session_code = w.session_code AND l.vertex >= w.vertex - ahead // 8 AND l.vertex < w.vertex + ahead GROUP BY ALL)
+SELECT {K}, session_time, x, y, vertex FROM w JOIN s USING (season, round, session_code, driver, lap_number, i)"""
+CTES["feet"] = f"""
+WITH n AS (SELECT {KS}, vertex, x AS cx, y AS cy, arc_m AS ca, lag((x, y, arc_m)) OVER v AS a, lead((x, y, arc_m)) OVER v AS b FROM rline WINDOW v AS (PARTITION BY {KS} ORDER BY vertex)),
+t AS (SELECT {K}, session_time, x, y, a, b, cx, cy, ca,
+  least(1.0, greatest(0.0, ((x - a[1]) * (cx - a[1]) + (y - a[2]) * (cy - a[2])) / ((cx - a[1]) ** 2 + (cy - a[2]) ** 2))) AS ta,
+  least(1.0, greatest(0.0, ((x - cx) * (b[1] - cx) + (y - cy) * (b[2] - cy)) / ((b[1] - cx) ** 2 + (b[2] - cy) ** 2))) AS tb FROM follow JOIN n USING (season, round, session_code, vertex)),
+o AS (SELECT *, sqrt((x - a[1] - ta * (cx - a[1])) ** 2 + (y - a[2] - ta * (cy - a[2])) ** 2) AS oa, sqrt((x - cx - tb * (b[1] - cx)) ** 2 + (y - cy - tb * (b[2] - cy)) ** 2) AS ob FROM t)
+SELECT {K}, session_time, CASE WHEN oa IS NULL OR ob < oa THEN ca + tb * (b[3] - ca) ELSE a[3] + ta * (ca - a[3]) END AS distance_aligned, CASE WHEN oa IS NULL OR ob < oa THEN ob ELSE oa END AS line_offset_m FROM o"""
+
 
 # ---- Spark stage tables ----------------------------------------------------
 
@@ -126,15 +144,15 @@ FROM (SELECT vec_id, label, x + 0.05::DOUBLE AS x, y FROM e) a JOIN e b ON a.lab
 def _(b):
     e = b.table("embeddings").select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
     pts = e.select("vec_id", "label", (F.col("x") + 0.05).alias("px"), F.col("y").alias("py"))
-    return P.nearest(pts, e.withColumnRenamed("vec_id", "other"), ["label"], ["vec_id"], "other", cells=(0.05, 0.4)).withColumnRenamed("idx", "nearest_id")
+    return P.nearest(pts, e.withColumnRenamed("vec_id", "other"), ["label"], ["vec_id"], "other").withColumnRenamed("idx", "nearest_id")
 
 
-@query("spa06_ordered_nearest", L + "session_time:d vertex:i")
+@query("spa06_ordered_nearest", L + "session_time:d vertex:i", "SELECT * FROM follow")
 def _(b):
     return P.ordered_nearest(merged(b), line(b))
 
 
-@query("spa07_project_on_segments", L + "session_time:d distance_aligned:d line_offset_m:d")
+@query("spa07_project_on_segments", L + "session_time:d distance_aligned:d line_offset_m:d", "SELECT * FROM feet")
 def _(b):
     m = merged(b)
     return P.project_on_segments(m.join(P.ordered_nearest(m, line(b)), [*LAP, "session_time"]), line(b))
@@ -156,12 +174,17 @@ def _(b):
     return P.apply_frame(positions_to_metres(raw_corners(b)), fixed)
 
 
-@query("spa11_calibration_cloud", L + "session_time:d x:d", f"""
-SELECT m.* FROM merged m SEMI JOIN (SELECT {K} FROM (SELECT *, row_number() OVER (PARTITION BY {KS} ORDER BY driver, lap_number) AS rn FROM (SELECT DISTINCT {K} FROM merged)) WHERE rn <= 8) {U}""")
+@query("spa11_calibration_cloud", L + "session_time:d x:d", "SELECT * FROM merged")
 def _(b):
     return P.first_laps(merged(b))
 
 
+@query("spa11_first_laps", L + "session_time:d x:d", f"""
+SELECT m.* FROM merged m SEMI JOIN (SELECT {K} FROM (SELECT *, row_number() OVER (PARTITION BY {KS} ORDER BY driver, lap_number) AS rn FROM (SELECT DISTINCT {K} FROM merged)) WHERE rn <= 8) {U}""")
+def _(b):
+    return P.first_laps(merged(b), 8)
+
+
 @query("spa11_calibrated_corners", SS + "number:i x:d y:d")
 def _(b):
     return P.apply_frame(positions_to_metres(raw_corners(b)), frames(b))

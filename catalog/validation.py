@@ -106,11 +106,7 @@ def stability(b):
 
 
 def registration(b):
-    from pyspark.sql import functions as F
-
-    gated = truth(b).filter("NOT (start_coverage_poor OR end_coverage_poor OR distance_excursion OR sector_split_outlier OR lap_outlier)")
-    std = gated.groupBy(*SESSION).agg(*[F.stddev_samp(f"{s}_residual_s").alias(s) for s in V.SECTORS])
-    return V.sector_registration(grid(b), std, Q.boundaries(b))
+    return V.sector_registration(grid(b), V.residual_spread(truth(b)), Q.boundaries(b))
 
 
 def report(b):

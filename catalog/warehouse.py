@@ -368,7 +368,7 @@ def _(b):
     c = b.table("customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     tables.upsert_table(c.filter("c_custkey % 2 = 0 OR c_custkey % 3 <> 0"), root, ["c_custkey"])
     tables.upsert_table(c.filter("c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1), root, ["c_custkey"])
-    return b.spark.read.parquet(root)
+    return tables.read_table(b.spark, root)
 
 
 def _loaded(b):
@@ -376,12 +376,12 @@ def _loaded(b):
         root = _root(b, "warehouse")
         facts = {"fact_telemetry_grid": fact_grid(b), "fact_microsector": fact_micro(b), "dim_lap": dim_lap(b)}
         tables.load(b.spark, root, {n: df.filter("round < 3") for n, df in facts.items()})
-        return tables.load(b.spark, root, facts)
+        return tables.load(b.spark, root, facts).audit
 
     return b.staged("load_audit", run)
 
 
-_AUD = f"""SELECT {KS}, 'fact_telemetry_grid' AS "table", count(*) AS rows FROM grid GROUP BY ALL UNION ALL SELECT {KS}, 'dim_lap', count(*) FROM lapn GROUP BY ALL UNION ALL SELECT {KS}, 'fact_microsector', count(*) FROM mt GROUP BY ALL"""
+_AUD = f"""SELECT {KS}, 'fact_telemetry_grid' AS "table", count(*) AS rows FROM grid GROUP BY ALL UNION ALL SELECT {KS}, 'dim_lap', count(*) FROM lapn GROUP BY ALL UNION ALL SELECT s.season, s.round, s.session_code, 'fact_microsector', coalesce(n, 0) FROM (SELECT DISTINCT {KS} FROM grid) s LEFT JOIN (SELECT {KS}, count(*) AS n FROM mt GROUP BY ALL) {US}"""
 
 
 @query("snk04_session_partitions", SS + "table:s rows:i", _AUD)
@@ -397,27 +397,40 @@ def _(b):
     return b.spark.read.parquet(root).groupBy(*SESSION).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("snk06_gate_before_write", "refused:b written:b", "SELECT true AS refused, false AS written FROM tele LIMIT 1")
+@query("snk06_gate_before_write", SS + "rows:i reason:s", f"""
+SELECT {KS}, CASE WHEN bad = 0 THEN n ELSE 0 END AS rows, CASE WHEN bad > 0 THEN 'laps: Range[20.0, 43.0] (' || bad || ' rows)' END AS reason FROM (SELECT {KS}, count(*) AS n, count(*) FILTER (WHERE lap_time > 43.0) AS bad FROM laps GROUP BY ALL)""")
 def _(b):
-    from trackgrid.operators.quality import Contract, ContractError, Range
+    from trackgrid.operators.quality import Contract, Range
 
-    root, refused = _root(b, "snk06"), False
+    root = _root(b, "snk06")
     contract = Contract("laps", ("driver", "lap_number"), (Range(column="lap_time", low=20.0, high=43.0),))
-    try:
-        tables.load(b.spark, root, {"laps": b.laps()}, {"laps": contract})
-    except ContractError:
-        refused = True
-    return b.laps().agg(F.lit(refused).alias("refused"), F.lit(landing.exists(b.spark, f"{root}/laps")).alias("written"))
+    loaded = tables.load(b.spark, root, {"laps": b.laps()}, {"laps": contract})
+    rows = loaded.audit.select(*SESSION, "rows")
+    return b.laps().select(*SESSION).distinct().join(rows, list(SESSION), "left").join(loaded.refused, list(SESSION), "left").fillna(0, ["rows"])
 
 
-@query("snk07_row_reconciliation", SS + "table:s rows:i", _AUD)
+@query("snk07_row_reconciliation", SS + "rows:i speed:d reason:s", f"""
+SELECT g.season, g.round, g.session_code, count(*) AS rows, sum(speed + CASE WHEN lost IS NULL THEN 1 ELSE 0 END) AS speed, any_value(CASE WHEN lost IS NOT NULL THEN 'fact_microsector: stored ' || (n - lost) || ' of ' || n || ' rows' END) AS reason
+FROM grid g LEFT JOIN (SELECT {KS}, count(*) AS n, nullif(count(*) FILTER (WHERE round = 2 AND microsector_id = 1), 0) AS lost FROM mt GROUP BY ALL) {US} GROUP BY ALL""")
 def _(b):
-    return _loaded(b)
+    root = _root(b, "snk07")
+    source = {"fact_microsector": Q.times(b), "fact_telemetry_grid": grid(b)}
+    tables.load(b.spark, root, {"fact_microsector": fact_micro(b), "fact_telemetry_grid": fact_grid(b)}, expect=source)
+    lossy = {"fact_microsector": fact_micro(b).filter("NOT (round = 2 AND microsector_id = 1)"), "fact_telemetry_grid": fact_grid(b).withColumn("speed", F.col("speed") + 1)}
+    loaded = tables.load(b.spark, root, lossy, expect=source)
+    seen = tables.Versions(b.spark, root).read("fact_telemetry_grid").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("rows"), F.sum("speed").alias("speed"))
+    return seen.join(loaded.refused, list(SESSION), "left")
 
 
-@query("snk08_load_audit", SS + "table:s rows:i warnings:i", f"SELECT *, 0 AS warnings FROM ({_AUD})")
+@query("snk08_load_audit", SS + "rows:i warnings:i quality_ok:b named:b timed:b paths:s", f"""
+SELECT {KS}, count(*) AS rows, CASE WHEN bool_or(coalesce(lap_time > 43.0, false)) THEN 1 ELSE 0 END AS warnings, true AS quality_ok, true AS named, true AS timed, '{{"landed": "laps"}}' AS paths FROM laps GROUP BY ALL""")
 def _(b):
-    return _loaded(b)
+    from trackgrid.operators.quality import WARNING, Contract, Range
+
+    root = _root(b, "snk08")
+    contract = Contract("laps", ("driver", "lap_number"), (Range(column="lap_time", low=20.0, high=600.0), Range(column="lap_time", low=20.0, high=43.0, severity=WARNING)))
+    tables.load(b.spark, root, {"laps": b.laps()}, {"laps": contract}, paths={"landed": "laps"})
+    return tables.load_audit(b.spark, root).withColumns({"named": F.length("contract_version") > 0, "timed": F.col("elapsed_s") > 0})
 
 
 @query("snk09_rejected_laps", L + "reason:s", "SELECT r.* FROM (" + __import__("catalog.series", fromlist=["_REJECT"])._REJECT + ") r")

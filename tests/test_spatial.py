@@ -121,3 +121,94 @@ def test_distance_map_extrapolates_with_the_local_scale(spark):
     assert got == pytest.approx([30.0, 110.0, 150.0, 190.0, 270.0])
     good, bad = P.align_with_anchors(rows, marks, min_anchors=8)
     assert good.count() == 0 and "only 2 usable" in bad.first()["reason"]
+
+
+def walked(lap, line, window=150.0, first=210.0):
+    """Vertex of each sample by a plain walk."""
+    xs, ys, arc = (line[c].to_numpy() for c in ("x", "y", "arc_m"))
+    step = (arc[-1] - arc[0]) / (len(arc) - 1)
+    ahead, at, out = round(window / step), None, []
+    for x, y in zip(lap["x"], lap["y"]):
+        lo, hi = (0, round(first / step)) if at is None else (max(0, at - ahead // 8), at + ahead)
+        at = lo + int(((xs[lo:hi] - x) ** 2 + (ys[lo:hi] - y) ** 2).argmin())
+        out.append(at)
+    return out
+
+
+def wild_laps(rng, laps=8, n=240):
+    """Laps that cross the line's own crossing, leave it, stand still and come back."""
+    a = np.linspace(0, 2 * np.pi, 1200)
+    eight = pd.DataFrame({**S3, "driver": "L", "lap_number": 1, "session_time": np.linspace(0, 90, 1200), "speed": 75.0, "x": 500 * np.sin(a), "y": 250 * np.sin(2 * a)})
+    out = [eight]
+    for number in range(2, laps + 2):
+        at = np.sort(rng.random(n)) * 2 * np.pi
+        x, y = 500 * np.sin(at) + rng.normal(0, 4, n), 250 * np.sin(2 * at) + rng.normal(0, 4, n)
+        if number % 2:
+            lo = rng.integers(0, n - 60)
+            x[lo : lo + 60] += rng.normal(0, 400, 60 if number % 4 == 1 else 1)
+            x[lo : lo + 25], y[lo : lo + 25] = x[lo], y[lo]
+        if number % 3 == 0:
+            half = rng.integers(n // 3, n // 2)
+            x[half:], y[half:] = x[half:][::-1].copy(), y[half:][::-1].copy()
+        out.append(pd.DataFrame({**S3, "driver": "W", "lap_number": number, "session_time": np.linspace(0, 90, n), "speed": 75.0, "x": x, "y": y}))
+    return eight, pd.concat(out[1:])
+
+
+@pytest.mark.parametrize("span", [3.0, 17.0, 1000.0])
+def test_search_in_pieces_equals_the_walk(spark, monkeypatch, span):
+    from trackgrid.operators import linesearch as Q
+
+    monkeypatch.setattr(Q, "PIECES_PER_LINE", 7)
+    eight, laps = wild_laps(np.random.default_rng(4))
+    line = line_of(spark, eight)
+    pdf = line.orderBy("vertex").toPandas()
+    got = Q.ordered_nearest(spark.createDataFrame(laps).repartition(3), line, 150.0, 210.0, span=span).toPandas().sort_values([*LAP, "session_time"])
+    astray = 0
+    for number, lap in laps.groupby("lap_number"):
+        want = walked(lap.sort_values("session_time"), pdf)
+        assert got[got.lap_number == number]["vertex"].tolist() == want, number
+        straight = Q.Line(*(pdf[c].to_numpy() for c in ("x", "y", "arc_m")), 150.0, 210.0).nearest(lap["x"].to_numpy(), lap["y"].to_numpy())
+        astray += int((straight != np.array(want)).sum())
+    assert astray > 50  # the walk differs from the nearest vertex, so pieces do depend on their entry
+
+
+def test_map_of_a_piece_gives_the_exit_of_every_entry():
+    from trackgrid.operators import linesearch as Q
+
+    rng = np.random.default_rng(9)
+    eight, laps = wild_laps(rng, laps=3, n=90)
+    path = eight[["x", "y"]].to_numpy()[::4]
+    arc = np.concatenate([[0], np.cumsum(np.hypot(*np.diff(path, axis=0).T))])
+    line = Q.Line(path[:, 0], path[:, 1], arc, 150.0, 210.0)
+    for _, lap in laps.groupby("lap_number"):
+        x, y = lap["x"].to_numpy()[10:34], lap["y"].to_numpy()[10:34]
+        entries, exits = Q.piece_map(line, x, y, False)
+        for entry in range(line.size):
+            want = Q.search(line, x, y, entry)[-1]
+            assert exits[np.searchsorted(entries, entry, side="right") - 1] == want
+    values = rng.integers(0, 5, 40).astype(float)
+    lo = rng.integers(0, 39, 50)
+    hi = np.minimum(40, lo + rng.integers(1, 20, 50))
+    assert Q.lowest(values, lo, hi).tolist() == [a + int(values[a:b].argmin()) for a, b in zip(lo, hi)]
+
+
+@pytest.mark.parametrize("scale", [1e-7, 1.0, 1e7])
+def test_cell_tree_is_exact_in_any_unit_and_spares_the_cloud(spark, scale):
+    from trackgrid.operators.celltree import CellTree
+
+    rng = np.random.default_rng(6)
+    ring_a = rng.random(4000) * 2 * np.pi
+    x, y = np.concatenate([300 * np.cos(ring_a), rng.normal(50, 0.01, 2000), np.full(500, 7.0)]), np.concatenate([300 * np.sin(ring_a), rng.normal(50, 0.01, 2000), np.full(500, 7.0)])
+    cloud = pd.DataFrame({"k": rng.integers(0, 2, len(x)), "id": rng.permutation(len(x)), "x": x * scale, "y": y * scale})
+    cloud = pd.concat([cloud, pd.DataFrame({"k": [2], "id": [-1], "x": [5.0 * scale], "y": [5.0 * scale]})])
+    spots = [(9e4, -3e5), (-1e6, 0.0), (7.0, 7.0), (50.0, 50.0), (300.0, 0.0), (150.0, 40.0), (0.0, 299.0)] + [tuple(p) for p in rng.normal(0, 400, (40, 2))]
+    pts = pd.DataFrame([(k, i, px * scale, py * scale) for k in range(4) for i, (px, py) in enumerate(spots)] + [(0, 900, np.nan, 1.0)], columns=["k", "pid", "px", "py"])
+    tree = CellTree(spark.createDataFrame(cloud), ["k"], "id")
+    got = {(r["k"], r["pid"]): r for r in tree.nearest(spark.createDataFrame(pts), ["pid"]).collect()}
+    assert len(got) == 3 * len(spots)
+    for (k, pid), r in got.items():
+        own = cloud[cloud.k == k]
+        d2 = (own["x"] - r["px"]) ** 2 + (own["y"] - r["py"]) ** 2
+        assert r["d2"] == d2.min() and r["idx"] == own["id"][(d2 == d2.min()).to_numpy()].min()
+    kept = tree.candidates(spark.createDataFrame(pts), ["pid"]).groupBy("k", "pid").count().toPandas()["count"]
+    assert kept.max() <= 16 and kept.mean() < 3

@@ -63,7 +63,7 @@ def test_upsert_keeps_the_last_writer(spark, root):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     T.upsert_table(a, f"{root}/u", ["k"])
     T.upsert_table(spark.createDataFrame([(2, "z"), (3, "w")], "k int, v string"), f"{root}/u", ["k"])
-    assert sorted(map(tuple, spark.read.parquet(f"{root}/u").collect())) == [(1, "x"), (2, "z"), (3, "w")]
+    assert sorted(map(tuple, T.read_table(spark, f"{root}/u").collect())) == [(1, "x"), (2, "z"), (3, "w")]
 
 
 def test_stream_loads_new_files_and_replaces_late_sessions(spark, root):

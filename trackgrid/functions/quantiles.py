@@ -21,45 +21,63 @@ MIDDLE = 5_000_000  # beyond every bucket of a magnitude: 1075 powers of two bel
 PARTS = 1 << 20
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column | str, probs: Mapping[str, float]) -> DataFrame:
-    """One row per key with a column per requested percentile and ``n``.
-
-    Linear interpolation between the two neighbouring ranks. Nulls and NaN are
-    left out; a key without a value yields no row.
+def percentiles(df: DataFrame, keys: Sequence[str], values: Mapping[str, tuple[Column | str, Mapping[str, float]]]) -> DataFrame:
+    """Percentiles of several columns by one plan: values gives for each a column and the names of its percentiles.
+
+    One row per key that has a value in any of the columns; a column per
+    percentile, null where the key has no value, and ``n_<name>`` per column.
+    Linear interpolation between the two neighbouring ranks; nulls and NaN are left
+    out. The columns are told apart by a number that is part of the group, so all
+    of them share every pass over the data.
     """
-    value = F.col(value) if isinstance(value, str) else value
     keys = list(keys)
-    data = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # a constant key gives a table without keys the same plan
-    groups = keys or ["_all"]
-    data = data if keys else data.withColumn("_all", F.lit(0))
-    counts = data.groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", magnitude(F.col("_v")))
-
-    first = counts.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
-    whole = Window.partitionBy(*groups)
+    columns = {name: (F.col(v) if isinstance(v, str) else v).cast("double") for name, (v, _) in values.items()}
+    wanted = [probs for _, probs in values.values()]
+    cells = F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), v.alias("_v")) for i, v in enumerate(columns.values())]))
+    # a struct is never null and compares null fields as equal, so joins on it are plain ones
+    data = df.select(*keys, cells).select(F.struct("_c", *keys).alias("_k"), "_v").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = data.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_b", magnitude(F.col("_v")))
+    held = reduce(or_, [(F.col("_k._c") == i) & holds_a_rank(probs) for i, probs in enumerate(wanted)])
+
+    first = counts.groupBy("_k", "_b").agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    whole = Window.partitionBy("_k")
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     first = first.withColumn("n", F.sum("_bn").over(whole)).withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-    first = first.filter(holds_a_rank(probs)).drop("_bn")
+    first = first.filter(held).drop("_bn")
 
     part = F.when(F.col("_max") > F.col("_min"), F.floor((F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * F.lit(float(PARTS)))).otherwise(F.lit(0).cast("long"))
     part = F.when(F.col("_max") - F.col("_min") < float("inf"), part).otherwise(F.lit(0).cast("long"))
-    inside = same(counts, first, [*groups, "_b"]).withColumn("_p", part)
-    second = inside.groupBy(*groups, "_b", "_p").agg(F.sum("_n").alias("_bn"), F.first("n").alias("n"), F.first("_off").alias("_base"))
-    before = Window.partitionBy(*groups, "_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    inside = counts.join(first, ["_k", "_b"]).withColumn("_p", part)
+    second = inside.groupBy("_k", "_b", "_p").agg(F.sum("_n").alias("_bn"), F.first("n").alias("n"), F.first("_off").alias("_base"))
+    before = Window.partitionBy("_k", "_b").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     second = second.withColumn("_off", F.col("_base") + F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-    second = second.filter(holds_a_rank(probs)).select(*groups, "_b", "_p", F.col("_off").alias("_from"))
+    second = second.filter(held).select("_k", "_b", "_p", F.col("_off").alias("_from"))
+
+    run = Window.partitionBy("_k", "_b", "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = inside.join(second, ["_k", "_b", "_p"]).withColumn("_end", F.col("_from") + F.sum("_n").over(run))
+    ranked = ranked.select(*[F.col(f"_k.{k}").alias(k) for k in keys], F.col("_k._c").alias("_c"), "n", "_v", "_end")
+    parts, out = [], []
+    for i, (name, probs) in enumerate(zip(columns, wanted, strict=True)):
+        mine = F.col("_c") == i
+        parts.append(F.max(F.when(mine, F.col("n"))).alias(f"n_{name}"))
+        out.append(F.col(f"n_{name}"))
+        for label, p in probs.items():
+            lo, hi, _ = ranks(p)
+            parts += [F.min(F.when(mine & (F.col("_end") > r), F.col("_v"))).alias(f"_{side}_{label}") for side, r in (("lo", lo), ("hi", hi))]
+            low, high, (down, _, place) = F.col(f"_lo_{label}"), F.col(f"_hi_{label}"), ranks(p, F.col(f"n_{name}"))
+            out.append(F.when(low == high, low).otherwise(low + (high - low) * (place - down)).alias(label))
+    found = ranked.groupBy(*keys).agg(*parts)
+    return (found if keys else found.filter(reduce(or_, [F.col(f"n_{name}").isNotNull() for name in columns]))).select(*keys, *out)
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: Column | str, probs: Mapping[str, float]) -> DataFrame:
+    """One row per key with a column per requested percentile of one column, and ``n``; a key without a value has no row."""
+    return percentiles(df, keys, {"value": (value, probs)}).select(*keys, F.col("n_value").alias("n"), *probs)
+
 
-    run = Window.partitionBy(*groups, "_b", "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = same(inside, second, [*groups, "_b", "_p"]).withColumn("_end", F.col("_from") + F.sum("_n").over(run))
-    at = lambda rank: F.min(F.when(F.col("_end") > rank, F.col("_v")))
-    parts = [F.first("n").alias("n")]
-    for name, p in probs.items():
-        lo, hi, _ = ranks(p)
-        parts += [at(lo).alias(f"_{name}_lo"), at(hi).alias(f"_{name}_hi")]
-    between = lambda name, p: F.when(F.col(f"_{name}_lo") == F.col(f"_{name}_hi"), F.col(f"_{name}_lo")).otherwise(
-        F.col(f"_{name}_lo") + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (ranks(p)[2] - ranks(p)[0])
-    )
-    return ranked.groupBy(*groups).agg(*parts).select(*keys, "n", *[between(name, p).alias(name) for name, p in probs.items()])
+def medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column | str]) -> DataFrame:
+    """The medians of several columns by one plan, named by the mapping's keys."""
+    return percentiles(df, keys, {name: (v, {name: 0.5}) for name, v in values.items()}).select(*keys, *values)
 
 
 def magnitude(v: Column) -> Column:
@@ -68,9 +86,9 @@ def magnitude(v: Column) -> Column:
     return F.when(v > 0, power).when(v < 0, -power).otherwise(F.lit(0).cast("long"))
 
 
-def ranks(p: float) -> tuple[Column, Column, Column]:
+def ranks(p: float, n: Column | None = None) -> tuple[Column, Column, Column]:
     """Zero-based ranks below and above the wanted place, and the place."""
-    place = F.lit(float(p)) * (F.col("n") - 1)
+    place = F.lit(float(p)) * ((F.col("n") if n is None else n) - 1)
     return F.floor(place), F.ceil(place), place
 
 
@@ -80,12 +98,5 @@ def holds_a_rank(probs: Mapping[str, float]) -> Column:
     return reduce(or_, [(F.col("_off") <= r) & (r < F.col("_off") + F.col("_bn")) for r in wanted])
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on keys of which some may be null."""
-    a, b = left.alias("a"), right.alias("b")
-    cond = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    return a.join(b, cond).select(*[F.col(f"a.{c}") for c in left.columns], *[F.col(f"b.{c}") for c in right.columns if c not in keys])
-
-
 def exact_median(df: DataFrame, keys: Sequence[str], value: Column | str, name: str = "median") -> DataFrame:
     return exact_percentiles(df, keys, value, {name: 0.5}).drop("n")

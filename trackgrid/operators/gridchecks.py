@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trackgrid.functions.columns import clean, lerp
 from trackgrid.functions.ordered import Axis, brackets
-from trackgrid.functions.quantiles import exact_percentiles
+from trackgrid.functions.quantiles import percentiles
 from trackgrid.keys import DISCRETE, GRID_M, LAP, SESSION
 from trackgrid.operators.series import TIME, grid_point_count, rising_edges
 
@@ -100,10 +100,17 @@ def empty_bins(samples: DataFrame, spacing: float = GRID_M, d: str = "distance_a
 
 def channel_errors(df: DataFrame, column: Column | str, prefix: str, keys: Sequence[str] = SESSION) -> DataFrame:
     """p95, p99, max and count of the finite values per session."""
-    v = clean(column)
-    ranks = exact_percentiles(df, keys, v, {f"{prefix}_p95": 0.95, f"{prefix}_p99": 0.99}).drop("n")
-    rest = df.groupBy(*keys).agg(F.max(v).alias(f"{prefix}_max"), F.count(v).alias(f"{prefix}_n"))
-    return rest.join(ranks, list(keys), "left")
+    return errors_of(df, {prefix: column}, keys)
+
+
+def errors_of(df: DataFrame, columns: Mapping[str, Column | str], keys: Sequence[str] = SESSION, half: Mapping[str, Column] | None = None) -> DataFrame:
+    """channel_errors of several columns by one plan; ``half``: columns of which the median is wanted too."""
+    values = {prefix: clean(c) for prefix, c in columns.items()}
+    asked = {prefix: (v, {f"{prefix}_p95": 0.95, f"{prefix}_p99": 0.99}) for prefix, v in values.items()}
+    asked |= {f"_{name}": (c, {name: 0.5}) for name, c in (half or {}).items()}
+    ranks = percentiles(df, keys, asked).drop(*[f"n_{name}" for name in asked])
+    rest = [x for p, v in values.items() for x in (F.max(v).alias(f"{p}_max"), F.count(v).alias(f"{p}_n"))]
+    return df.groupBy(*keys).agg(*rest).join(ranks, list(keys), "left")
 
 
 def acceptance(samples: DataFrame, grid: DataFrame, spacing: float = GRID_M, d: str = "distance_aligned", time_axis: Axis = TIME) -> DataFrame:
@@ -112,10 +119,9 @@ def acceptance(samples: DataFrame, grid: DataFrame, spacing: float = GRID_M, d:
     struct = structure(grid, lengths, spacing).groupBy(*SESSION).agg(F.count(F.lit(1)).alias("laps"), F.bool_and("structure_ok").alias("structure_ok"))
     rising = elapsed_increasing(grid).groupBy(*SESSION).agg(F.bool_and("increasing").alias("elapsed_ok"))
     errors = round_trip_errors(samples, grid, ROUND_TRIP_CHANNELS, spacing, d)
-    parts = [channel_errors(errors, c, c) for c in ROUND_TRIP_CHANNELS]
+    parts = [errors_of(errors, {c: c for c in ROUND_TRIP_CHANNELS})]
     parts.append(channel_errors(brake_edge_displacement(samples, grid, d=d, time_axis=time_axis), "displacement_m", "brake_edge"))
-    parts.append(channel_errors(grid, "source_gap_m", "source_gap"))
-    parts.append(exact_percentiles(grid, SESSION, clean("source_gap_m"), {"source_gap_median_m": 0.5}).drop("n"))
+    parts.append(errors_of(grid, {"source_gap": "source_gap_m"}, half={"source_gap_median_m": clean("source_gap_m")}))
     parts.append(invented_values(samples, grid).groupBy(*SESSION).agg(F.count(F.lit(1)).alias("invented")))
     parts.append(empty_bins(samples, spacing, d, time_axis.order).groupBy(*SESSION).agg(F.avg("empty_bin_fraction").alias("empty_bin_fraction")))
     out = reduce(lambda a, b: a.join(b, list(SESSION), "left"), parts, struct.join(rising, list(SESSION), "left"))

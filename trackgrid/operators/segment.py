@@ -1,9 +1,9 @@
 """Corner events and micro-sectors from the session's median trace.
 
 A trace has one row per grid index, and the grid contract bounds the index
-(keys.MAX_GRID_INDEX), so a session's trace fits one row as arrays. Boundaries
-are read from these arrays with array functions inside the JVM; indices are
-unwrapped, so an event across the start line is one event.
+(keys.MAX_GRID_INDEX), so one session's trace is a few arrays in a task. Troughs
+and boundaries are found there (see troughs) and leave it as a row of numbers per
+event; indices are unwrapped, so an event across the start line is one event.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +23,10 @@ from trackgrid.functions.columns import (
     in_half_open_window,
     parse_corner_label,
 )
-from trackgrid.functions.quantiles import exact_median
+from trackgrid.functions.quantiles import exact_median, medians
 from trackgrid.keys import GRID_M, LAP, MAX_GRID_INDEX, SESSION
+from trackgrid.operators import troughs
+from trackgrid.session import ship
 
 
 @dataclass(frozen=True)
@@ -54,29 +57,44 @@ GRAIN_BINS = "fixed_100m"
 
 # ---------------------------------------------------------------- median trace
 
-def median_traces(grid: DataFrame, min_lap_fraction: float = 0.8, by: Sequence[str] = SESSION, spacing: float = GRID_M) -> DataFrame:
-    """Per grid index the median speed and throttle and the share of laps braking.
-
-    Indices fewer than ``min_lap_fraction`` of the laps reach are dropped, and
-    the trace ends before the first missing index. No index 0 is an error.
-    """
-    by = list(by)
+def _covered(grid: DataFrame, min_lap_fraction: float, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Grid indices that enough laps reach, and per session the first of them and the last before a gap."""
     key = [*by, "grid_index"]
     laps = grid.select(*by, "driver", "lap_number").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("_laps"))
     stats = grid.groupBy(*key).agg(F.avg(F.col("brake").cast("double")).alias("brake"), F.count(F.lit(1)).alias("n_laps"))
     need = F.greatest(F.lit(1), F.ceil(F.lit(min_lap_fraction) * F.col("_laps")))
     kept = stats.join(laps, by).filter(F.col("n_laps") >= need).drop("_laps")
     after = kept.select(*by, (F.col("grid_index") - 1).alias("grid_index"))
-    reach = kept.select(*key).join(after, key, "left_anti").groupBy(*by).agg(F.min("grid_index").alias("_end"))
+    reach = kept.select(*key).join(after, key, "left_anti").groupBy(*by).agg(F.min("grid_index").cast("long").alias("_end"))
     opens = kept.groupBy(*by).agg(F.min("grid_index").alias("_open"))
-    reach = reach.join(opens, by)
-    end = (
-        F.when(F.col("_open") != 0, F.raise_error(F.lit("median trace does not start at grid index 0")).cast("long"))
-        .when(F.col("_end") > MAX_GRID_INDEX, F.raise_error(F.lit("grid index beyond the contract's bound")).cast("long"))
-        .otherwise(F.col("_end").cast("long"))
+    return kept, reach.join(opens, by)
+
+
+def _trace_fault() -> Column:
+    return F.when(F.col("_open") != 0, F.lit("median trace does not start at grid index 0")).when(
+        F.col("_end") > MAX_GRID_INDEX, F.lit("grid index beyond the contract's bound")
     )
+
+
+def trace_faults(grid: DataFrame, min_lap_fraction: float = 0.8, by: Sequence[str] = SESSION) -> DataFrame:
+    """Sessions whose laps give no usable median trace, with the reason."""
+    reach = _covered(grid, min_lap_fraction, list(by))[1]
+    return reach.select(*by, _trace_fault().alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def median_traces(grid: DataFrame, min_lap_fraction: float = 0.8, by: Sequence[str] = SESSION, spacing: float = GRID_M) -> DataFrame:
+    """Per grid index the median speed and throttle and the share of laps braking.
+
+    Indices fewer than ``min_lap_fraction`` of the laps reach are dropped, and
+    the trace ends before the first missing index. A session that
+    ``trace_faults`` names is an error here; a batch leaves it out before.
+    """
+    by = list(by)
+    key = [*by, "grid_index"]
+    kept, reach = _covered(grid, min_lap_fraction, by)
+    end = F.when(_trace_fault().isNotNull(), F.raise_error(_trace_fault()).cast("long")).otherwise(F.col("_end"))
     kept = kept.join(reach.select(*by, end.alias("_end")), by).filter(F.col("grid_index") <= F.col("_end")).drop("_end")
-    kept = kept.join(exact_median(grid, key, "speed", "speed"), key, "left").join(exact_median(grid, key, "throttle", "throttle"), key, "left")
+    kept = kept.join(medians(grid, key, {"speed": "speed", "throttle": "throttle"}), key, "left")
     return kept.withColumn("distance_m", F.col("grid_index") * F.lit(float(spacing)))
 
 
@@ -84,81 +102,39 @@ def lap_length(traces: DataFrame, by: Sequence[str] = SESSION, spacing: float =
     return traces.groupBy(*by).agg((F.count(F.lit(1)) * F.lit(float(spacing))).alias("lap_length_m"))
 
 
-def _arrays(traces: DataFrame, by: Sequence[str]) -> DataFrame:
-    point = F.struct("grid_index", F.col("speed").cast("double").alias("speed"), F.coalesce(F.col("brake"), F.lit(0.0)).alias("brake"), F.col("throttle").cast("double").alias("throttle"))
-    packed = traces.groupBy(*by).agg(F.array_sort(F.collect_list(point)).alias("_p"))
-    thrice = lambda c: F.concat(*[F.transform("_p", lambda p: p[c])] * 3)
-    return packed.select(
-        *by, F.size("_p").alias("n"), F.forall("_p", lambda p: p["speed"].isNotNull() & ~F.isnan(p["speed"])).alias("_finite"),
-        thrice("speed").alias("sp"), thrice("brake").alias("br"), thrice("throttle").alias("th"),
-    )
-
-
-def _part(values: str, start: Column, stop: Column) -> Column:
-    """values[start:stop] in unwrapped indices of a trace stored three times."""
-    return F.slice(F.col(values), (start + F.col("n") + 1).cast("int"), F.greatest(stop - start, F.lit(0)).cast("int"))
+def _by_trace(traces: DataFrame, by: Sequence[str], do, out: str) -> DataFrame:
+    """do(speed, brake, throttle) for each trace; a trace holds at most MAX_GRID_INDEX + 1 points."""
+    by = list(by)
+    kinds = dict(traces.dtypes)
+    names = [f.split()[0] for f in out.split(", ")]
 
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pd.DataFrame(do(*troughs.traces_of(pdf)), columns=names).convert_dtypes()
+        return rows.assign(**{c: pdf[c].iloc[0] for c in by})[[*by, *names]]
 
-def _first(seq: Column, test) -> Column:
-    """0-based position of the first element that passes, null if none does."""
-    return F.nullif(F.array_position(F.transform(seq, test), F.lit(True)), F.lit(0)) - 1
+    columns = [F.col(c).cast("double").alias(c) for c in ("speed", "brake", "throttle") if c in traces.columns]
+    schema = ", ".join([f"{c} {kinds[c]}" for c in by] + [out])
+    ship(traces.sparkSession)
+    return traces.select(*by, "grid_index", *columns).groupBy(*by).applyInPandas(one, schema)
 
 
 def find_troughs(traces: DataFrame, min_prominence: float = 8.0, by: Sequence[str] = SESSION) -> DataFrame:
     """Local minima of the circular trace with enough prominence; a flat floor reports its first point."""
-    return _troughs(_arrays(traces, by), min_prominence, by).select(*by, "trough_id", "i", "v", "prominence")
 
+    def found(speed, brake, throttle):
+        spots, prominence = troughs.find(speed, min_prominence)
+        return [(k, int(i), float(speed[i]), float(p)) for k, (i, p) in enumerate(zip(spots, prominence, strict=True))]
 
-def _troughs(arrays: DataFrame, min_prominence: float, by: Sequence[str]) -> DataFrame:
-    at = lambda j: F.element_at("sp", (j + F.col("n") + 1).cast("int"))
-    spots = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: (at(i) < at(i - 1)) & (at(i) <= at(i + 1)))
-    rows = arrays.filter((F.col("n") >= 3) & F.col("_finite")).withColumn("i", F.explode(spots)).withColumn("v", at(F.col("i")))
-    right = _part("sp", F.col("i") + 1, F.col("i") + F.col("n"))
-    left = F.reverse(_part("sp", F.col("i") - F.col("n") + 1, F.col("i")))
-    rows = rows.withColumn("_r", right).withColumn("_l", left)
-    top = lambda side: F.array_max(F.slice(F.col(side), F.lit(1), F.coalesce(_first(F.col(side), lambda x: x < F.col("v")), F.size(side)).cast("int")))
-    rows = rows.withColumn("prominence", F.least(top("_l"), top("_r")) - F.col("v")).drop("_l", "_r")
-    order = Window.partitionBy(*by).orderBy("i")
-    return rows.filter(F.col("prominence") >= min_prominence).withColumn("trough_id", F.row_number().over(order) - 1)
+    return _by_trace(traces, by, found, "trough_id long, i long, v double, prominence double")
 
 
 def raw_events(traces: DataFrame, params: EventParams = EventParams(), by: Sequence[str] = SESSION) -> DataFrame:
     """Event boundaries in unwrapped grid indices, one row per trough."""
-    order = Window.partitionBy(*by).orderBy("i")
-    whole = Window.partitionBy(*by)
-    t = _troughs(_arrays(traces, by), params.min_prominence_kmh, by)
-    t = t.withColumn("i_prev", F.coalesce(F.lag("i").over(order), F.max("i").over(whole) - F.col("n")))
-    t = t.withColumn("i_next", F.coalesce(F.lead("i").over(order), F.min("i").over(whole) + F.col("n")))
-    i, ip, nx, v, prom = (F.col(c) for c in ("i", "i_prev", "i_next", "v", "prominence"))
-
-    t = t.withColumn("_b", _part("sp", ip + 1, i))
-    t = t.withColumn("left_max", F.when(F.size("_b") > 0, ip + F.array_position("_b", F.array_max("_b"))).otherwise(i))
-    lm = F.col("left_max")
-    t = t.withColumn("_b", _part("br", lm, i + 1))
-    braking = lambda b: b >= params.brake_on_fraction
-    t = t.withColumn("brake_on", lm + _first(F.col("_b"), braking))
-    t = t.withColumn("brake_off", lm + F.size("_b") - _first(F.reverse("_b"), braking))
-
-    limit = v + params.apex_fraction * prom
-    over = lambda x: x > limit
-    t = t.withColumn("_b", F.reverse(_part("sp", ip + 1, i)))
-    t = t.withColumn("a0", i - F.coalesce(_first(F.col("_b"), over), F.size("_b")))
-    t = t.withColumn("_b", _part("sp", i + 1, nx))
-    t = t.withColumn("a1", i + 1 + F.coalesce(_first(F.col("_b"), over), F.size("_b")))
-
-    a0, a1 = F.col("a0"), F.col("a1")
-    t = t.withColumn("_b", F.reverse(_part("th", lm, a0 + 1)))
-    opened = _first(F.col("_b"), lambda x: x >= params.throttle_lift_pct)
-    t = t.withColumn("lift", F.least(F.when(opened.isNotNull(), lm + F.size("_b") - opened).otherwise(lm), a0))
-    t = t.withColumn("start", F.least("lift", "brake_on", a0))
-
-    target = v + params.exit_recovery_fraction * prom
-    t = t.withColumn("_b", _part("sp", a1, nx))
-    t = t.withColumn("_hit", a1 + _first(F.col("_b"), lambda x: x >= target)).drop("_b", "sp", "br", "th")
-    following = lambda c: F.coalesce(F.lead(c).over(order), F.first(c).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) + F.col("n"))
-    t = t.withColumn("_nl", following("left_max")).withColumn("_ns", following("start"))
-    t = t.withColumn("exit_end", F.greatest(F.least(F.coalesce("_hit", "_nl"), "_ns"), a1))
-    return t.select(*by, F.col("trough_id").alias("event_id"), "n", "i", "v", "prominence", "left_max", "lift", "brake_on", "brake_off", "a0", "a1", "start", "exit_end")
+
+    def events(speed, brake, throttle):
+        return troughs.bounds(speed, brake, throttle, *troughs.find(speed, params.min_prominence_kmh), params)
+
+    return _by_trace(traces, by, events, troughs.EVENT_FIELDS)
 
 
 def label_events(raw: DataFrame, corners: DataFrame, params: EventParams = EventParams(), by: Sequence[str] = SESSION, spacing: float = GRID_M) -> DataFrame:
@@ -414,7 +390,7 @@ def acceptance(grid: DataFrame, corners: DataFrame, events: DataFrame, sectors:
     """One row per session with every check of the segmentation and its figures."""
     from functools import reduce
 
-    from trackgrid.operators.metrics import spread
+    from trackgrid.operators.metrics import spread, spreads
 
     keys = list(SESSION)
     apex, brake = per_lap_apex(grid, events, lengths, spacing), per_lap_brake(grid, events, lengths, spacing)
@@ -439,7 +415,7 @@ def acceptance(grid: DataFrame, corners: DataFrame, events: DataFrame, sectors:
     tables = [
         events.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("corners").isNull()).alias("events_without_corners")),
         parts, spread(apex, "apex_dev_m", "apex"), spread(brake, "brake_dev_m", "brake"), match,
-        *[spread(good, f"{c}_shift_m", f"{c}_shift") for c in ("apex", "brake_on", "exit_end")],
+        spreads(good, {f"{c}_shift": f"{c}_shift_m" for c in ("apex", "brake_on", "exit_end")}),
         corners.groupBy(*keys).agg(F.max("line_offset_m").alias("corner_offset_max_m")), loose,
         by_event(std_all, "v_min_std_all"), by_event(within, "v_min_std_within"),
     ]

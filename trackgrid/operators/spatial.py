@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackgrid.functions.columns import clean, lerp, positions_to_metres
 from trackgrid.functions.ordered import Axis, brackets, integrate, neighbours
-from trackgrid.functions.quantiles import exact_median
+from trackgrid.functions.quantiles import medians
 from trackgrid.keys import GRID_M, LAP, SESSION
+from trackgrid.operators import linesearch
+from trackgrid.operators.celltree import CellTree
 from trackgrid.operators.metrics import flying_laps
 from trackgrid.operators.series import TIME, enforce_monotonic, extend_axis_ends
 from trackgrid.session import cut
@@ -45,13 +45,28 @@ def arc_length(path: DataFrame, axis: Axis = VERTEX) -> DataFrame:
     return integrate(path, axis, ["x", "y"], lambda a, b: F.hypot(b["x"] - a["x"], b["y"] - a["y"]), "arc_m")
 
 
+def _heading(path: DataFrame, axis: Axis) -> DataFrame:
+    """Per path its number of points, its first point and one HEADING_SPAN_M further on, or its last."""
+    body = F.struct("vertex", "x", "y")
+    return arc_length(path, axis).groupBy(*axis.keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(body).alias("a"), F.coalesce(F.min(F.when(F.col("arc_m") >= HEADING_SPAN_M, body)), F.max(body)).alias("b")
+    )
+
+
+def _line_fault() -> Column:
+    span = F.hypot(F.col("b")["x"] - F.col("a")["x"], F.col("b")["y"] - F.col("a")["y"])
+    return F.when(F.col("_n") < MIN_PATH_POINTS, F.lit("too few points for a reference line")).when(span == 0, F.lit("cannot take a heading from a zero-length span"))
+
+
+def line_faults(path: DataFrame, axis: Axis = VERTEX) -> DataFrame:
+    """Paths that give no reference line, with the reason."""
+    return _heading(path, axis).select(*axis.keys, _line_fault().alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def lead_in(path: DataFrame, lead_m: float = LEAD_M, spacing: float = LINE_SPACING_M, axis: Axis = VERTEX) -> DataFrame:
     """The path continued straight backwards from its first vertex, which keeps number 0."""
     steps = max(2, int(round(lead_m / spacing)))
-    body = F.struct("vertex", "x", "y")
-    ends = arc_length(path, axis).groupBy(*axis.keys).agg(
-        F.min(body).alias("a"), F.coalesce(F.min(F.when(F.col("arc_m") >= HEADING_SPAN_M, body)), F.max(body)).alias("b")
-    )
+    ends = _heading(path, axis)
     dx, dy = F.col("b")["x"] - F.col("a")["x"], F.col("b")["y"] - F.col("a")["y"]
     norm = F.hypot(dx, dy)
     unit = F.when(norm == 0, F.raise_error(F.lit("cannot take a heading from a zero-length span")).cast("double")).otherwise(norm)
@@ -123,30 +138,9 @@ PATH = Axis(SESSION, "vertex", 60e6)
 
 # ---------------------------------------------------------------- nearest neighbour
 
-def nearest(points: DataFrame, cloud: DataFrame, keys: Sequence[str], ids: Sequence[str], tie: str, cells: Sequence[float] = (40.0, 640.0)) -> DataFrame:
-    """Nearest cloud point of the same key for every point (px, py); ties go to the lowest ``tie``.
-
-    Points meet the cloud in square cells and their eight neighbours. A match no
-    farther than the cell size cannot be beaten from outside these cells; points
-    without such a match go on to larger cells and at last to the whole key.
-    """
-    keys, ids = list(keys), list(ids)
-    sq = lambda a, b: (a - b) * (a - b)
-    d2 = sq(F.col("px"), F.col("x")) + sq(F.col("py"), F.col("y"))
-    body = F.min(F.struct(d2.alias("d2"), F.col(tie).alias("idx"), F.col("x").alias("nx"), F.col("y").alias("ny"))).alias("_m")
-    rest = points.select(*keys, *ids, "px", "py")
-    around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
-    found = None
-    for c in cells:
-        cell = lambda v: F.floor(F.col(v) / F.lit(c))
-        near = rest.withColumn("_dx", around).withColumn("_dy", around).withColumn("_cx", cell("px") + F.col("_dx")).withColumn("_cy", cell("py") + F.col("_dy"))
-        there = cloud.select(*keys, F.col(tie), "x", "y", cell("x").alias("_cx"), cell("y").alias("_cy"))
-        best = near.join(there, [*keys, "_cx", "_cy"]).groupBy(*keys, *ids, "px", "py").agg(body)
-        sure = best.filter(F.col("_m")["d2"] <= F.lit(c * c))
-        found = sure if found is None else found.unionByName(sure)
-        rest = rest.join(sure.select(*keys, *ids), [*keys, *ids], "left_anti")
-    far = rest.join(cloud.select(*keys, F.col(tie), "x", "y"), keys).groupBy(*keys, *ids, "px", "py").agg(body)
-    return found.unionByName(far).select(*keys, *ids, "px", "py", "_m.*")
+def nearest(points: DataFrame, cloud: DataFrame, keys: Sequence[str], ids: Sequence[str], tie: str) -> DataFrame:
+    """Nearest cloud point of the same key for every point (px, py); ties go to the lowest ``tie`` (see celltree)."""
+    return CellTree(cloud, keys, tie).nearest(points, ids)
 
 
 # ---------------------------------------------------------------- projection
@@ -156,70 +150,9 @@ def without_line(samples: DataFrame, line: DataFrame) -> DataFrame:
     return samples.select(*LAP).distinct().join(line.select(*SESSION).distinct(), list(SESSION), "left_anti").withColumn("reason", F.lit("no reference line"))
 
 
-class _Follower:
-    """A lap's way along its line: the vertex nearest to each point, within reach of the one before.
-
-    The nearest vertex of the whole line is found for many points at once. If it
-    is within reach it is also the nearest there; only otherwise is the reach searched.
-    """
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, arc: np.ndarray, ahead_m: float, first_m: float):
-        step = float(np.median(np.diff(arc))) if len(arc) > 1 else 0.0
-        vertices = lambda metres: max(4, int(round(metres / (step or 1.0))))
-        self.x, self.y, self.at = x, y, None
-        self.ahead, self.first = vertices(ahead_m), vertices(first_m)
-        self.behind = max(2, self.ahead // 8)
-
-    def reach(self) -> tuple[int, int]:
-        return (0, min(self.first, len(self.x))) if self.at is None else (max(0, self.at - self.behind), min(self.at + self.ahead, len(self.x)))
-
-    def follow(self, px: np.ndarray, py: np.ndarray) -> np.ndarray:
-        out = np.empty(len(px), np.int64)
-        for start in range(0, len(px), 512):
-            part = slice(start, start + 512)
-            apart = (px[part, None] - self.x) ** 2 + (py[part, None] - self.y) ** 2
-            for k, best in enumerate(apart.argmin(1).tolist()):
-                lo, hi = self.reach()
-                self.at = best if lo <= best < hi else lo + int(apart[k, lo:hi].argmin())
-                out[start + k] = self.at
-        return out
-
-
 def ordered_nearest(samples: DataFrame, line: DataFrame, window_m: float = WINDOW_M, seed_span_m: float = LEAD_M, time: str = "session_time") -> DataFrame:
-    """Nearest line vertex per sample, searched within a reach that moves forward along the lap.
-
-    Each search starts where the last one ended, so a lap is read in order: Spark
-    sorts the rows and the worker streams them. The line of a session arrives
-    once per lap, in a row ahead of its samples. Laps without a line are left
-    out; ``without_line`` names them.
-    """
-    packed = line.groupBy(*SESSION).agg(F.array_sort(F.collect_list(F.struct("vertex", "x", "y", "arc_m"))).alias("_v"))
-    part = lambda c: F.transform("_v", lambda v: v[c].cast("double"))
-    packed = packed.select(*SESSION, part("x").alias("vx"), part("y").alias("vy"), part("arc_m").alias("va"))
-    head = samples.select(*LAP).distinct().join(packed, list(SESSION)).withColumn("_order", F.lit(0))
-    body = samples.join(packed.select(*SESSION), list(SESSION), "left_semi").select(*LAP, time, "x", "y").withColumn("_order", F.lit(1))
-    rows = body.unionByName(head, allowMissingColumns=True).repartition(*LAP).sortWithinPartitions(*LAP, "_order", time)
-    fields = {f.name: f.dataType.simpleString() for f in samples.schema}
-    schema = ", ".join([f"{k} {fields[k]}" for k in (*LAP, time)] + ["vertex long"])
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lap = None
-        for batch in batches:
-            heads = np.flatnonzero(batch["_order"].to_numpy() == 0)
-            px, py = batch["x"].to_numpy(dtype=float), batch["y"].to_numpy(dtype=float)
-            found = np.zeros(len(batch), np.int64)
-            edges = [0, *heads.tolist(), len(batch)]
-            for k, (lo, hi) in enumerate(zip(edges, edges[1:])):
-                if k:
-                    row = batch.iloc[lo]
-                    lap = _Follower(*(np.asarray(row[c], float) for c in ("vx", "vy", "va")), window_m, seed_span_m + window_m)
-                    lo += 1
-                if lo < hi:
-                    found[lo:hi] = lap.follow(px[lo:hi], py[lo:hi])
-            keep = batch["_order"].to_numpy() == 1
-            yield batch.loc[keep, [*LAP, time]].assign(vertex=found[keep])
-
-    return rows.mapInPandas(scan, schema)
+    """Nearest line vertex per sample, searched within a reach that moves forward along the lap (see linesearch)."""
+    return linesearch.ordered_nearest(samples, line, window_m, seed_span_m + window_m, time, TIME.span)
 
 
 def project_on_segments(nearest_vertex: DataFrame, line: DataFrame, point: Sequence[str] = ("x", "y"), keys: Sequence[str] = SESSION) -> DataFrame:
@@ -298,10 +231,11 @@ def fit_frame(corners: DataFrame, cloud: DataFrame, iterations: int = ICP_ITERAT
         F.when(F.col("_nc") < MIN_CORNERS, F.lit("fewer than 3 corners")).when(F.coalesce(F.col("_np"), F.lit(0)) < MIN_CLOUD_POINTS, F.lit("path too sparse to fit against")),
     )
     usable = sizes.filter("reason IS NULL").select(*keys)
+    tree = CellTree(cloud.join(usable, keys, "left_semi"), keys, "pid")
 
     def match(state: DataFrame) -> DataFrame:
         pts = state.select(*keys, "corner_id", F.col("cx").alias("px"), F.col("cy").alias("py"))
-        return nearest(pts, cloud, keys, ["corner_id"], "pid").select(*keys, "corner_id", F.col("nx").alias("mx"), F.col("ny").alias("my"), F.sqrt("d2").alias("gap"))
+        return tree.nearest(pts, ["corner_id"]).select(*keys, "corner_id", F.col("nx").alias("mx"), F.col("ny").alias("my"), F.sqrt("d2").alias("gap"))
 
     start = corners.join(usable, keys, "left_semi").select(
         *keys, F.xxhash64("number", F.coalesce(F.col("letter"), F.lit("")) if "letter" in corners.columns else F.lit("")).alias("corner_id"),
@@ -517,7 +451,7 @@ def length_checks(aligned: DataFrame, official: DataFrame, time: str = "session_
     laps = aligned.groupBy(*LAP).agg(
         (F.max_by("distance_aligned", time) - F.min_by("distance_aligned", time)).alias("_a"), F.max_by("distance_raw", time).alias("_r")
     )
-    both = exact_median(laps, SESSION, "_a", "aligned_m").join(exact_median(laps, SESSION, "_r", "driven_m"), list(SESSION)).join(official, list(SESSION))
+    both = medians(laps, SESSION, {"aligned_m": "_a", "driven_m": "_r"}).join(official, list(SESSION))
     scale = 100.0 * F.abs(F.col("aligned_m") - F.col("driven_m")) / F.col("driven_m")
     off = 100.0 * (F.col("aligned_m") - F.col("official_m")) / F.col("official_m")
     return both.select(

@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackgrid.functions.columns import clean, flag, lap_label, lerp
-from trackgrid.functions.quantiles import exact_median, exact_percentiles
+from trackgrid.functions.quantiles import exact_median, exact_percentiles, medians, percentiles
 from trackgrid.keys import GRID_M, KMH_PER_MS, LAP, SESSION
-from trackgrid.operators.metrics import spread
+from trackgrid.operators.metrics import spreads
 from trackgrid.operators.series import TIME, lap_lengths, raw_distance_at, time_at_distance
 from trackgrid.operators.spatial import OFFICIAL_BAND_PCT
 
@@ -81,8 +81,8 @@ def line_crossings(aligned: DataFrame, laps: DataFrame, line: DataFrame, margin:
 
 def line_positions(crossings: DataFrame) -> DataFrame:
     """Session line positions: medians of the laps' own."""
-    a = exact_median(crossings, SESSION, "line_start_m", "d_start")
-    return a.join(exact_median(crossings, SESSION, "line_end_m", "d_end"), list(SESSION))
+    both = medians(crossings, SESSION, {"d_start": "line_start_m", "d_end": "line_end_m"})
+    return both.filter(F.col("d_start").isNotNull() & F.col("d_end").isNotNull())
 
 
 def start_stretch(crossings: DataFrame, positions: DataFrame) -> DataFrame:
@@ -164,9 +164,8 @@ def lap_outlier() -> Column:
 
 def coverage_limits(table: DataFrame) -> DataFrame:
     """Per session: how late a window may open and how early it may close."""
-    opened = exact_percentiles(table, SESSION, "window_open_s", {"_o": 0.95}).select(*SESSION, (F.col("_o") + COVERAGE_SLACK_S).alias("open_limit"))
-    closed = exact_percentiles(table, SESSION, "window_close_s", {"_c": 0.05}).select(*SESSION, (F.col("_c") - COVERAGE_SLACK_S).alias("close_limit"))
-    return opened.join(closed, list(SESSION), "full")
+    ends = percentiles(table, SESSION, {"open": ("window_open_s", {"_o": 0.95}), "close": ("window_close_s", {"_c": 0.05})})
+    return ends.select(*SESSION, (F.col("_o") + COVERAGE_SLACK_S).alias("open_limit"), (F.col("_c") - COVERAGE_SLACK_S).alias("close_limit"))
 
 
 def flag_laps(table: DataFrame) -> DataFrame:
@@ -245,6 +244,12 @@ def ground_truth(curves: DataFrame, laps: DataFrame, crossings: DataFrame, refer
     return flag_laps(table).select(*LAP, *GROUND_TRUTH)
 
 
+def residual_spread(truth: DataFrame) -> DataFrame:
+    """Per session the spread of each sector's residual over its undisturbed laps, as sector_registration reads it."""
+    disturbed = flag("start_coverage_poor") | flag("end_coverage_poor") | F.col("distance_excursion") | F.col("sector_split_outlier") | F.col("lap_outlier")
+    return truth.filter(~disturbed).groupBy(*SESSION).agg(*[F.stddev_samp(f"{s}_residual_s").alias(s) for s in SECTORS])
+
+
 def report(truth: DataFrame, crossings: DataFrame, stability: DataFrame, laps: DataFrame, registration: DataFrame | None = None, official: DataFrame | None = None) -> DataFrame:
     """One row per session: gated statistics, the seven checks and the verdict."""
     keys = list(SESSION)
@@ -264,13 +269,13 @@ def report(truth: DataFrame, crossings: DataFrame, stability: DataFrame, laps: D
         F.max(F.when(flag("is_reference"), F.col("lap_residual_s"))).alias("_ref"), F.coalesce(F.bool_or(flag("is_reference")), F.lit(False)).alias("_has_ref"),
     )
     line = crossings.groupBy(*keys).agg(F.stddev_samp("line_start_m").alias("line_start_std_m"), F.stddev_samp("line_end_m").alias("line_end_std_m"))
-    medians = [exact_median(gated, keys, f"{s}_residual_s", f"{s}_median_s") for s in SECTORS]
-    medians += [exact_median(gated, keys, "lap_residual_s", "lap_residual_median_s"), exact_median(gated, keys, "driven_m", "driven_median_m"), line_positions(crossings)]
-    medians += [exact_median(crossings, keys, "window_open_s", "window_open_median_s"), exact_median(crossings, keys, "window_close_s", "window_close_median_s")]
+    half = {f"{s}_median_s": f"{s}_residual_s" for s in SECTORS} | {"lap_residual_median_s": "lap_residual_s", "driven_median_m": "driven_m"}
+    ranks = [spreads(gated, {"lap_residual": "lap_residual_s", "closure": "closure_residual_s"}, keys, half)]
+    ranks.append(medians(crossings, keys, {"d_start": "line_start_m", "d_end": "line_end_m", "window_open_median_s": "window_open_s", "window_close_median_s": "window_close_s"}))
     steady = exact_percentiles(stability, keys, "v_min_std_kmh", {"v_min_std_median_kmh": 0.5, "v_min_std_p95_kmh": 0.95}).drop("n")
     groups = stability.groupBy(*keys).agg(F.count(F.lit(1)).alias("v_min_groups"))
     pushes = push_laps(laps).groupBy(*keys).agg(F.count(F.lit(1)).alias("push_laps"))
-    parts = [stats, line, *medians, spread(gated, "lap_residual_s", "lap_residual"), spread(gated, "closure_residual_s", "closure"), steady, groups, pushes]
+    parts = [stats, line, *ranks, steady, groups, pushes]
     if registration is not None:
         parts.append(registration.select(*keys, *[F.col(f"{s}_m").alias(f"{s}_registration_m") for s in SECTORS]))
     if official is not None:
@@ -301,9 +306,9 @@ def by_circuit(season: DataFrame, circuit: str = "circuit") -> DataFrame:
         F.count(F.lit(1)).alias("sessions"), F.count_if(flag("ok")).alias("passing"), F.sum("laps").alias("laps"),
         F.max("line_start_std_m").alias("line_start_std_m"),
     ).withColumn("all_sessions_pass", F.col("passing") == F.col("sessions"))
-    for c in ("lap_residual_median_s", "lap_residual_std_s", "closure_p95", "driven_pct_of_official"):
-        med = exact_median(season, [circuit], c, c).withColumnRenamed(circuit, "_k")
-        counts = counts.join(med, F.col(circuit).eqNullSafe(F.col("_k")), "left").drop("_k")
+    figures = ("lap_residual_median_s", "lap_residual_std_s", "closure_p95", "driven_pct_of_official")
+    med = medians(season, [circuit], {c: c for c in figures}).withColumnRenamed(circuit, "_k")
+    counts = counts.join(med, F.col(circuit).eqNullSafe(F.col("_k")), "left").drop("_k")
     return counts.orderBy(F.col("lap_residual_std_s").desc_nulls_last(), F.col(circuit).asc_nulls_last())
 
 
