@@ -176,10 +176,8 @@ def test_runs_equal_brute_force():
 def test_access_tells_the_last_end_of_every_suffix():
     rng = random.Random(4)
     for _ in range(60):
-        text, automaton = [], runs.Automaton()
-        for i in range(50):
-            text.append(rng.randrange(3))
-            met = automaton.append(text[-1])
+        text = [rng.randrange(3) for _ in range(50)]
+        for i, met in enumerate(runs.segments(text)):
             want = {}
             for m in range(1, i + 1):
                 ends = [e for e in range(m - 1, i) if text[e - m + 1 : e + 1] == text[i - m + 1 : i + 1]]

@@ -19,10 +19,11 @@ What reaches the automaton. A run of period q holds, after its first q words, at
 least (TIMES - 1) * q consecutive words whose previous equal word lies at most q
 back; the same holds for its word 8-grams when q > 8. Stretches that meet this
 for some power of two Q (q in (Q/2, Q]) are found with numpy for a whole batch;
-each one, widened by Q words and merged with those it touches, is appended to an
-automaton of its own, and its squares are extended over the whole text. This is
-a necessary condition (hash collisions of 8-grams only add stretches), so no run
-is lost, and ordinary prose never enters the Python loop.
+each one, merged with those it touches, is appended to an automaton of its own,
+and its squares are extended over the whole text. Such a stretch holds at least
+3 q words of the run and so a square of it; the condition is necessary (hash
+collisions of 8-grams only add stretches). No run is lost, and ordinary prose
+never enters the Python loop.
 
 Defined results: a null or empty text has no words, no runs and collapses to the
 empty text; repeated rows and equal ids are judged row by row; very long texts
@@ -50,99 +51,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "period")]))
 
 
-class Automaton:
-    """Suffix automaton of the appended symbols, its link tree as a link-cut tree.
+def segments(symbols: list[int]):
+    """Append symbols to a suffix automaton; for each one the (longest length, last end) of the path segments it recolours.
 
     State 0 is the root. The first transition of a state lies in ``symbol`` and
     ``target``, further ones in ``more``; most states have one. ``left``, ``right``
-    and ``up`` are the splay trees of the preferred paths, ordered by depth;
-    ``colour`` is valid at the root of a splay tree and holds for all of it.
+    and ``up`` are the splay trees of the preferred paths, ordered by depth; ``up``
+    of a tree's root is where the path hangs on another. ``colour`` is valid at the
+    root of a splay tree and holds for all of it.
     """
-
-    def __init__(self):
-        self.length, self.link = array("q", [0]), array("q", [-1])
-        self.symbol, self.target, self.more = array("q", [-1]), array("q", [0]), {}
-        self.left, self.right, self.up = array("q", [-1]), array("q", [-1]), array("q", [-1])
-        self.colour = array("q", [-1])
-        self.last, self.size = 0, 0
-
-    def _state(self, length: int) -> int:
-        for column, value in ((self.length, length), (self.link, 0), (self.symbol, -1), (self.target, 0), (self.left, -1), (self.right, -1), (self.up, -1), (self.colour, -1)):
-            column.append(value)
-        return len(self.length) - 1
-
-    def _go(self, state: int, symbol: int) -> int:
-        if self.symbol[state] == symbol:
-            return self.target[state]
-        more = self.more.get(state)
-        return -1 if more is None else more.get(symbol, -1)
-
-    def _put(self, state: int, symbol: int, to: int) -> None:
-        if self.symbol[state] in (-1, symbol):
-            self.symbol[state], self.target[state] = symbol, to
-        else:
-            self.more.setdefault(state, {})[symbol] = to
-
-    def append(self, symbol: int) -> list[tuple[int, int]]:
-        """Append a symbol; the (longest length, last end) of each path segment that its access recolours."""
-        length, link, go, put = self.length, self.link, self._go, self._put
-        new = self._state(self.size + 1)
-        p = self.last
-        while p >= 0 and go(p, symbol) < 0:
-            put(p, symbol, new)
-            p = link[p]
-        if p >= 0:
-            q = go(p, symbol)
-            if length[p] + 1 == length[q]:
-                link[new] = q
-            else:
-                clone = self._split(q, length[p] + 1)
-                while p >= 0 and go(p, symbol) == q:
-                    put(p, symbol, clone)
-                    p = link[p]
-                link[new] = clone
-        self.up[new] = link[new]
-        self.last = new
-        met = self._access(new, self.size)
-        self.size += 1
-        return met
-
-    def _split(self, q: int, length: int) -> int:
-        """A state for the shorter strings of q: copied transitions, put above q on q's own path, in its colour."""
-        clone = self._state(length)
-        self.symbol[clone], self.target[clone] = self.symbol[q], self.target[q]
-        if q in self.more:
-            self.more[clone] = dict(self.more[q])
-        self.link[clone], self.link[q] = self.link[q], clone
-        self._splay(q)
-        above = self.left[q]
-        self.left[clone] = above
-        if above >= 0:
-            self.up[above] = clone
-        self.left[q], self.up[clone] = clone, q
-        return clone
-
-    def _splay(self, x: int) -> None:
-        left, right, up = self.left, self.right, self.up
-        p = up[x]
-        if p < 0 or (left[p] != x and right[p] != x):
-            return
-        top = p
-        while (above := up[top]) >= 0 and (left[above] == top or right[above] == top):
-            top = above
-        self.colour[x] = self.colour[top]
-        while True:
-            p = up[x]
-            if p < 0 or (left[p] != x and right[p] != x):
-                return
-            g = up[p]
-            if g >= 0 and (left[g] == p or right[g] == p):
-                self._rotate(p if (left[p] == x) == (left[g] == p) else x)
-            self._rotate(x)
-
-    def _rotate(self, x: int) -> None:
-        left, right, up = self.left, self.right, self.up
-        p = up[x]
+    size = 2 * len(symbols) + 1
+    blank = array("i", [-1]) * size
+    length, link, symbol, target = array("i", [0]) * size, blank[:], blank[:], blank[:]
+    left, right, up, colour = blank[:], blank[:], blank[:], blank
+    more: dict[int, dict[int, int]] = {}
+    states, last = 1, 0
+
+    def rotate(x, p):
         g = up[p]
         if left[p] == x:
             b = left[p] = right[x]
@@ -159,30 +84,98 @@ class Automaton:
                 right[g] = x
         up[x], up[p] = g, x
 
-    def _access(self, x: int, colour: int) -> list[tuple[int, int]]:
-        """Make the path from x to the root one preferred path of this colour."""
-        met, below, start = [], -1, x
+    def splay(x):
+        p = up[x]
+        if p < 0 or (left[p] != x and right[p] != x):
+            return
+        while True:
+            g = up[p]
+            if g < 0 or (left[g] != p and right[g] != p):
+                colour[x] = colour[p]
+                rotate(x, p)
+                return
+            if (left[p] == x) == (left[g] == p):
+                top = up[g]
+                deep = top < 0 or (left[top] != g and right[top] != g)
+                rotate(p, g)
+                rotate(x, p)
+            else:
+                top = up[g]
+                deep = top < 0 or (left[top] != g and right[top] != g)
+                rotate(x, p)
+                rotate(x, g)
+            if deep:
+                colour[x] = colour[g]
+                return
+            p = top
+
+    for i, c in enumerate(symbols):
+        new, p, q = states, last, -1
+        states += 1
+        length[new] = i + 1
+        while p >= 0:
+            if symbol[p] == c:
+                q = target[p]
+                break
+            if symbol[p] < 0:
+                symbol[p], target[p] = c, new
+            elif (m := more.get(p)) is None:
+                more[p] = {c: new}
+            elif (q := m.get(c, -1)) >= 0:
+                break
+            else:
+                m[c] = new
+            p = link[p]
+        if q < 0:
+            q = 0
+        elif length[p] + 1 != length[q]:
+            # a state for the shorter strings of q, put above q on q's own path and in its colour
+            clone = states
+            states += 1
+            length[clone], symbol[clone], target[clone] = length[p] + 1, symbol[q], target[q]
+            if q in more:
+                more[clone] = dict(more[q])
+            link[clone], link[q] = link[q], clone
+            splay(q)
+            above = left[q]
+            left[clone], left[q], up[clone] = above, clone, q
+            if above >= 0:
+                up[above] = clone
+            while p >= 0:
+                if symbol[p] == c:
+                    if target[p] != q:
+                        break
+                    target[p] = clone
+                elif (m := more.get(p)) is not None and m.get(c) == q:
+                    m[c] = clone
+                else:
+                    break
+                p = link[p]
+            q = clone
+        link[new] = up[new] = q
+        last = new
+        # access: the path from the new state to the root becomes one preferred path
+        met, below, x = [], new, q
         while x >= 0:
-            self._splay(x)
-            if self.colour[x] >= 0:
-                met.append((self.length[x], self.colour[x]))
-            deeper = self.right[x]
+            splay(x)
+            seen = colour[x]
+            if seen >= 0:
+                met.append((length[x], seen))
+            deeper = right[x]
             if deeper >= 0:
-                self.colour[deeper] = self.colour[x]
-            self.right[x] = below
-            if below >= 0:
-                self.up[below] = x
-            below, x = x, self.up[x]
-        self._splay(start)
-        self.colour[start] = colour
-        return met
+                colour[deeper] = seen
+            right[x] = below
+            up[below] = x
+            below, x = x, up[x]
+        colour[below] = i
+        yield met
 
 
 def runs_within(words: list[int], lo: int, hi: int, found: set) -> None:
     """Add to ``found`` each (start, length, period) that has a square inside words[lo:hi]."""
-    automaton, known, n = Automaton(), {}, len(words)
-    for i in range(lo, hi):
-        for longest, last in automaton.append(words[i]):
+    known, n = {}, len(words)
+    for i, met in enumerate(segments(words[lo:hi]), lo):
+        for longest, last in met:
             period = i - lo - last
             if period > longest or known.get(period, -1) > i:
                 continue
@@ -212,7 +205,7 @@ def stretches(near: np.ndarray, least: int) -> np.ndarray:
 
 
 def candidates(ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
-    """(text, from, to) over a batch's words: wherever a run may lie, whole."""
+    """(text, from, to) over a batch's words: stretches that hold a square of every run there may be."""
     n = len(ids)
     if n < LEAST:
         return []
@@ -222,7 +215,7 @@ def candidates(ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]
     for q in (1, 2, 4, GRAM):
         smallest = q // 2 + 1
         for lo, hi in stretches(far <= q, max(LEAST, TIMES * smallest) - smallest):
-            spans.append((lo, hi, q, 1))
+            spans.append((lo, hi, 1))
     if n >= GRAM:
         mixed = np.zeros(n - GRAM + 1, np.uint64)
         for k in range(GRAM):
@@ -234,13 +227,13 @@ def candidates(ids: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]
         while q // 2 < widest:
             smallest = q // 2 + 1
             for lo, hi in stretches(far <= q, (TIMES - 1) * smallest - GRAM + 1):
-                spans.append((lo, hi, q, GRAM))
+                spans.append((lo, hi, GRAM))
             q *= 2
     out: list[list[int]] = []
     cut = []
-    for lo, hi, q, gram in spans:  # a stretch may cross texts where chance repeats meet
+    for lo, hi, gram in spans:  # a stretch may cross texts where chance repeats meet
         for t in range(text[lo], text[hi - 1] + 1):
-            cut.append((t, max(lo - q, first[t]), min(hi + gram - 1, first[t + 1])))
+            cut.append((t, max(lo, first[t]), min(hi + gram - 1, first[t + 1])))
     for t, lo, hi in sorted(cut):
         if out and out[-1][0] == t and lo <= out[-1][2]:
             out[-1][2] = max(out[-1][2], hi)
