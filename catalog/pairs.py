@@ -98,7 +98,15 @@ def _(b):
     return P.pairings(split_all(b), every(b))
 
 
-@query("set06_pairings_wide", PP + "event_0:d event_1:d event_2:d", f"""
+@query("set06_pairings_wide", PP + "events:s first_s:d last_s:d sum_s:d", f"""
+SELECT {KP}, string_agg(event_id::BIGINT, ',' ORDER BY event_id) AS events, arg_min(delta_s, event_id) AS first_s, arg_max(delta_s, event_id) AS last_s, sum(delta_s) AS sum_s FROM eva GROUP BY ALL""")
+def _(b):
+    wide = P.pairings_wide(split_all(b)).withColumns({"k": F.map_keys("deltas"), "v": F.map_values("deltas")})
+    summed = F.aggregate("v", F.lit(0.0), lambda a, x: a + x)
+    return wide.select(*P.PAIR, F.array_join(F.transform("k", lambda x: x.cast("long").cast("string")), ",").alias("events"), F.col("v")[0].alias("first_s"), F.element_at("v", -1).alias("last_s"), summed.alias("sum_s"))
+
+
+@query("set06_pairings_columns", PP + "event_0:d event_1:d event_2:d", f"""
 SELECT {KP}, max(delta_s) FILTER (WHERE event_id = 0) AS event_0, max(delta_s) FILTER (WHERE event_id = 1) AS event_1, max(delta_s) FILTER (WHERE event_id = 2) AS event_2 FROM eva GROUP BY ALL""")
 def _(b):
     wide = P.pairings_wide(split_all(b), [0, 1, 2])

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog import metrics as Q
 from catalog import segment as C
+from catalog import contract_sql as X
 from catalog import validation as VQ
 from catalog.binding import CTES
 from catalog.registry import query
@@ -147,7 +148,10 @@ def findings(b):
     return b.staged("findings", lambda: R.validate_tables(b.spark, frames(b), {n: c for n, c in T.CONTRACTS.items() if n in T.SESSION_TABLES}, T.OPTIONAL_TABLES))
 
 
-@query("qua10_validate_tables", SS + "table:s rule:s severity:s count:i fraction:d")
+CTES["found"] = X.findings(X.SESSION_RULES, T.OPTIONAL_TABLES)
+
+
+@query("qua10_validate_tables", SS + "table:s rule:s severity:s count:i fraction:d", "SELECT * FROM found")
 def _(b):
     return findings(b)
 
@@ -158,12 +162,15 @@ def _(b):
     return R.validate_table(b.laps(), one("laps", R.Range(column="lap_time", low=20.0, high=43.0)))
 
 
-@query("qua12_finding_counts", "table:s errors:i warnings:i")
+_KINDS = "count(*) FILTER (WHERE severity = 'error') AS errors, count(*) FILTER (WHERE severity = 'warning') AS warnings"
+
+
+@query("qua12_finding_counts", "table:s errors:i warnings:i", f"""SELECT "table", {_KINDS} FROM found GROUP BY ALL""")
 def _(b):
     return findings(b).groupBy("table").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
 
 
-@query("qua13_contract_version", SS + "rule:s contract_version:s")
+@query("qua13_contract_version", SS + "rule:s contract_version:s", f"SELECT *, '{R.contract_version(X.SESSION_RULES)}' AS contract_version FROM found")
 def _(b):
     return findings(b)
 
@@ -175,7 +182,7 @@ def _(b):
     return b.laps().select(*SESSION).distinct().join(bad.withColumn("closed", F.lit(True)), list(SESSION), "left").withColumn("open", F.col("closed").isNull())
 
 
-@query("qua15_session_contracts", "table:s rows:i broken_rules:i")
+@query("qua15_session_contracts", "table:s rows:i broken_rules:i", "SELECT t.*, coalesce(broken_rules, 0) AS broken_rules FROM (" + " UNION ALL ".join(f"""SELECT '{n}' AS "table", count(*) AS rows FROM {t}""" for n, t in X.TABLES.items()) + """) t LEFT JOIN (SELECT "table", count(DISTINCT rule) AS broken_rules FROM found GROUP BY ALL) f USING ("table")""")
 def _(b):
     out = None
     for name, df in frames(b).items():
@@ -185,14 +192,15 @@ def _(b):
     return out.join(broken, "table", "left").fillna(0, ["broken_rules"])
 
 
-@query("qua16_check_session", "table:s errors:i warnings:i")
+@query("qua16_check_session", "table:s errors:i warnings:i", f"""SELECT "table", {_KINDS} FROM found WHERE rule <> 'Table' GROUP BY ALL""")
 def _(b):
     return R.check_session(b.spark, frames(b), {n: T.CONTRACTS[n] for n in frames(b)})["counts"]
 
 
-@query("agg21_observed_ranges", SS + "table:s column:s low:d high:d", f"""
-SELECT * FROM (SELECT {KS}, 'grid' AS "table", unnest(['speed', 'elapsed_time', 'source_gap_m']) AS "column", unnest([a, c, e]) AS low, unnest([b, d, f]) AS high FROM
- (SELECT {KS}, min(speed) AS a, max(speed) AS b, min(elapsed_time) AS c, max(elapsed_time) AS d, min(source_gap_m) AS e, max(source_gap_m) AS f FROM grid GROUP BY ALL))
-UNION ALL SELECT {KS}, 'corner_metrics', unnest(['v_min_kmh', 'brake_gap_m']), unnest([a, c]), unnest([b, d]) FROM (SELECT {KS}, min(v_min_kmh) AS a, max(v_min_kmh) AS b, min(brake_gap_m) AS c, max(brake_gap_m) AS d FROM cm GROUP BY ALL)""")
+_WATCHED = {"car_telemetry": "car", "grid": "grid", "telemetry_aligned": "(SELECT *, 0.0 AS line_offset_m FROM tele_raw)", "lap_summary": "lsum", "ground_truth": "truth", "corner_metrics": "cm"}
+_RANGE = lambda table, c: f"""SELECT {KS}, '{table}' AS "table", '{c}' AS "column", min({c}) AS low, max({c}) AS high FROM {_WATCHED[table]} GROUP BY ALL HAVING min({c}) IS NOT NULL"""
+
+
+@query("agg21_observed_ranges", SS + "table:s column:s low:d high:d", " UNION ALL ".join(_RANGE(t, c) for t, columns in T.REPORTED_RANGES.items() for c in columns))
 def _(b):
-    return R.observed_ranges({"grid": grid(b), "corner_metrics": C.metrics(b)}, T.REPORTED_RANGES)
+    return R.observed_ranges(frames(b), T.REPORTED_RANGES)

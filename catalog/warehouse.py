@@ -130,6 +130,29 @@ def _(b):
     return R.skipped_rounds(races(b), R.driver_entries(races(b)))
 
 
+def _season_people(b):
+    """Drivers and constructors named by the entries of each season's races."""
+    e = races(b).select("season", F.explode(F.concat(F.coalesce("QualifyingResults", F.array().cast(f"array<{R.ENTRY}>")), F.coalesce("Results", F.array().cast(f"array<{R.ENTRY}>")))).alias("e"))
+    drivers = e.select("season", "e.Driver.*").distinct()
+    return drivers, e.select("season", "e.Constructor.*").distinct()
+
+
+@query("ref07_ingest_reference", "season:i table:s rows:i reason:s", """
+WITH n AS (SELECT season, 'dim_event' AS "table", count(*) AS rows FROM rounds GROUP BY ALL UNION ALL SELECT season, 'dim_session_schedule', count(*) FROM sched GROUP BY ALL
+ UNION ALL SELECT season, 'driver_entry', count(*) FROM entr GROUP BY ALL
+ UNION ALL SELECT year(o_orderdate), 'dim_driver', count(DISTINCT o_custkey) FROM orders WHERE o_custkey % 10 <> 0 AND (month(o_orderdate) % 2 = 0 OR month(o_orderdate) % 5 <> 0) GROUP BY ALL
+ UNION ALL SELECT year(o_orderdate), 'dim_constructor', count(DISTINCT o_orderkey % 10) FROM orders WHERE month(o_orderdate) % 2 = 0 OR month(o_orderdate) % 5 <> 0 GROUP BY ALL)
+SELECT season, "table", rows, NULL AS reason FROM n WHERE season <> 1997 UNION ALL SELECT 1997, NULL, NULL, 'dim_event: NotNull (' || count(*) || ' rows)' FROM rounds WHERE season = 1997""")
+def _(b):
+    from trackgrid.plans.reference import ingest_reference
+
+    nowhere = F.col("Circuit").withField("Location", F.col("Circuit.Location").withField("lat", F.lit("unknown")))
+    rows = races(b).withColumn("Circuit", F.when(F.col("season") == "1997", nowhere).otherwise(F.col("Circuit")))
+    drivers, makers = _season_people(b)
+    found = ingest_reference(b.spark, _root(b, "reference"), rows, drivers, makers, "2024-01-01")
+    return found.tables.unionByName(found.refused, allowMissingColumns=True)
+
+
 _NOW = "TIMESTAMP '2001-06-06 16:59:59'"
 
 
@@ -302,6 +325,33 @@ def _(b):
     return W.overlay(b.spark.read.parquet(root), 2024, 3, "Q", ids["lap_a"], ids["lap_b"])
 
 
+CTES["asks"] = f"""
+WITH f AS (SELECT {KS}, driver, lap_number FROM ({_FAST})), top AS (SELECT {KS}, arg_min(driver, (lap_time_s IS NULL, lap_time_s, driver)) AS driver_a FROM lsum GROUP BY ALL)
+SELECT top.*, f.driver AS driver_b, f.driver AS ask, f.lap_number AS lap_b FROM top JOIN f {US}"""
+
+
+@query("qry04_overlay_by_driver", SS + "ask:s grid_index:i delta_t_s:d speed_a:d speed_b:d reason:s", f"""
+WITH pts AS (SELECT g.*, t_s FROM grid g JOIN curves USING (season, round, session_code, driver, lap_number, grid_index)), fa AS (SELECT {KS}, driver AS driver_a, lap_number AS lap_a FROM ({_FAST}))
+SELECT k.season, k.round, k.session_code, ask, x.grid_index, y.t_s - x.t_s AS delta_t_s, x.speed AS speed_a, y.speed AS speed_b, NULL AS reason FROM asks k JOIN fa ON fa.season = k.season AND fa.round = k.round AND fa.session_code = k.session_code AND fa.driver_a = k.driver_a
+ JOIN pts x ON x.season = k.season AND x.round = k.round AND x.session_code = k.session_code AND x.driver = k.driver_a AND x.lap_number = lap_a
+ JOIN pts y ON y.season = k.season AND y.round = k.round AND y.session_code = k.session_code AND y.driver = k.driver_b AND y.lap_number = lap_b AND y.grid_index = x.grid_index WHERE k.driver_a <> k.driver_b
+UNION ALL SELECT {KS}, ask, NULL, NULL, NULL, NULL, 'pick two different drivers' FROM asks WHERE driver_a = driver_b
+UNION ALL SELECT {KS}, ask || ' nobody', NULL, NULL, NULL, NULL, 'nobody has no lap in the session' FROM asks
+UNION ALL SELECT {KS}, ask || ' other', NULL, NULL, NULL, NULL, 'the lap asked for is not ' || driver_a || chr(39) || 's' FROM asks WHERE driver_a <> driver_b""")
+def _(b):
+    laps = dim_lap(b)
+    best = W.fastest_lap(laps)
+    order = F.struct(F.col("lap_time_s").isNull(), "lap_time_s", "code")
+    top = laps.groupBy(*SESSION).agg(F.min_by("code", order).alias("driver_a"))
+    one = top.join(best.select(*SESSION, F.col("code").alias("driver_b"), "lap_id"), list(SESSION))
+    none = F.lit(None).cast("long")
+    plain = one.select(*SESSION, F.col("driver_b").alias("ask"), "driver_a", "driver_b", none.alias("lap_a"), F.col("lap_id").alias("lap_b"))
+    nobody = plain.select(*SESSION, F.concat("ask", F.lit(" nobody")).alias("ask"), "driver_a", F.lit("nobody").alias("driver_b"), none.alias("lap_a"), none.alias("lap_b"))
+    other = plain.filter("driver_a <> driver_b").select(*SESSION, F.concat("ask", F.lit(" other")).alias("ask"), "driver_a", "driver_b", F.col("lap_b").alias("lap_a"), none.alias("lap_b"))
+    shown, refused = W.overlay_drivers(fact_grid(b), laps, plain.unionByName(nobody).unionByName(other))
+    return shown.unionByName(refused, allowMissingColumns=True)
+
+
 _LOSS = f"""
 SELECT {KS}, CASE WHEN length_m >= 30 THEN concat_ws(' ', microsector_id::VARCHAR, coalesce(corners, ''), phase) ELSE 'pooled' END AS label, sum(delta_s) AS delta_s, sum(length_m) AS length_m, count(*) AS sectors FROM dec1 WHERE NOT partial AND delta_s IS NOT NULL GROUP BY ALL"""
 
@@ -468,3 +518,18 @@ def _(b):
     publish(raw, "2024-01-03")
     run()
     return b.spark.read.parquet(f"{root}/grid").groupBy(*SESSION, "driver").agg(F.countDistinct("lap_number").alias("laps"), F.count(F.lit(1)).alias("points"))
+
+
+@query("run01_process_sessions", SS + "stage:s reason:s laps:i loaded:b")
+def _(b):
+    """The whole chain from landed tables to the warehouse: what became of each session."""
+    from catalog.spatial import raw_corners
+    from trackgrid.plans.run import process_sessions
+
+    raw = {"laps": b.laps(), "car_telemetry": b.car(), "pos_data": b.pos(), "circuit_corners": raw_corners(b)}
+    out = process_sessions(b.spark, raw, VQ.official(b), warehouse=_root(b, "run"), sessions=meta(b))
+    loaded = out["load_audit"].filter("table = 'dim_lap'").select(*SESSION, F.lit(True).alias("loaded"))
+    laps = out["lap_summary"].groupBy(*SESSION).agg(F.count(F.lit(1)).alias("laps"))
+    every = b.laps().select(*SESSION).distinct()
+    told = every.join(out["refused_sessions"], list(SESSION), "left").join(laps, list(SESSION), "left").join(loaded, list(SESSION), "left")
+    return told.fillna(0, ["laps"]).fillna(False, ["loaded"])

@@ -2,9 +2,13 @@
 
 A window partitioned by the series key puts a whole series into one task, which
 fails when one series holds a large share of the data. Here a series is cut in
-chunks along its order column. The window runs per (key, chunk); one summary row
-per chunk carries what crosses a chunk border. The summaries are aggregated
-before they are shuffled and are smaller than the data by the chunk's row count.
+chunks along its order column. The rows are dealt by (key, chunk) once; the
+window runs on what was dealt, and so do the summaries, one row per chunk, that
+carry what crosses a chunk border. Only the summaries are moved again.
+
+Spark computes an exchange once for two readers if both read the same columns of
+it. ``Axis.deal`` and ``Axis.summaries`` see to that: the summaries depend on a
+hash of every column, so that none is pruned from their side.
 """
 
 from __future__ import annotations
@@ -35,6 +39,15 @@ class Axis:
     def cut(self, df: DataFrame) -> DataFrame:
         return df.withColumn(CHUNK, F.floor(F.col(self.order) / F.lit(self.span)))
 
+    def deal(self, df: DataFrame) -> DataFrame:
+        """The rows by chunk: the one exchange that windows and summaries share."""
+        return (df if CHUNK in df.columns else self.cut(df)).repartition(*self.chunk_keys)
+
+    def summaries(self, dealt: DataFrame, like: DataFrame, *aggregates: Column) -> DataFrame:
+        """Aggregates per chunk of what ``deal`` returned, with the rows read as the other side reads them (see above)."""
+        whole = F.min(F.xxhash64(*[F.col(c) for c in like.columns])).alias("_whole")
+        return dealt.groupBy(*self.chunk_keys).agg(*aggregates, whole).filter(F.col("_whole").isNotNull()).drop("_whole")
+
     def within(self):
         return Window.partitionBy(*self.chunk_keys).orderBy(self.order)
 
@@ -44,14 +57,14 @@ class Axis:
 
 def neighbours(df: DataFrame, axis: Axis, cols: Sequence[str], prev: str = "prev", nxt: str = "next") -> DataFrame:
     """Add the previous and the next row of the series as structs of ``cols``."""
-    chunked = df if CHUNK in df.columns else axis.cut(df)
+    chunked = axis.deal(df)
     body = F.struct(*[F.col(c) for c in cols])
     keyed = F.struct(F.col(axis.order).alias("_o"), body.alias("_b"))
     local = (
         chunked.withColumn("_p", F.lag(body).over(axis.within()))
         .withColumn("_n", F.lead(body).over(axis.within()))
     )
-    edges = chunked.groupBy(*axis.chunk_keys).agg(F.min(keyed).alias("_lo"), F.max(keyed).alias("_hi"))
+    edges = axis.summaries(chunked, chunked, F.min(keyed).alias("_lo"), F.max(keyed).alias("_hi"))
     edges = edges.select(
         *axis.chunk_keys,
         F.lag("_hi").over(axis.across()).getField("_b").alias("_cp"),
@@ -71,7 +84,7 @@ def brackets(df: DataFrame, axis: Axis, samples: Sequence[str]) -> DataFrame:
     A struct that is null is no sample and is skipped; a null inside a struct is
     a value and is carried. Adds ``<name>_prev`` and ``<name>_next``.
     """
-    chunked = df if CHUNK in df.columns else axis.cut(df)
+    chunked = axis.deal(df)
     upto = axis.within().rangeBetween(Window.unboundedPreceding, Window.currentRow)
     onward = axis.within().rangeBetween(Window.currentRow, Window.unboundedFollowing)
     before = axis.across().rowsBetween(Window.unboundedPreceding, -1)
@@ -82,8 +95,8 @@ def brackets(df: DataFrame, axis: Axis, samples: Sequence[str]) -> DataFrame:
         *[F.first(s, ignorenulls=True).over(onward).alias(f"_ln_{s}") for s in samples],
     )
     seen = {s: F.when(F.col(s).isNotNull(), F.struct(F.col(axis.order).alias("_o"), F.col(s).alias("_b"))) for s in samples}
-    edges = chunked.groupBy(*axis.chunk_keys).agg(
-        *[F.max(seen[s]).alias(f"_hi_{s}") for s in samples], *[F.min(seen[s]).alias(f"_lo_{s}") for s in samples]
+    edges = axis.summaries(
+        chunked, chunked, *[F.max(seen[s]).alias(f"_hi_{s}") for s in samples], *[F.min(seen[s]).alias(f"_lo_{s}") for s in samples]
     )
     edges = edges.select(
         *axis.chunk_keys,
@@ -103,7 +116,7 @@ def running(
 ) -> DataFrame:
     """Running sums and running maxima, both including the current row."""
     sums, maxima = dict(sums or {}), dict(maxima or {})
-    chunked = df if CHUNK in df.columns else axis.cut(df)
+    chunked = axis.deal(df)
     upto = axis.within().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = axis.across().rowsBetween(Window.unboundedPreceding, -1)
     local = chunked.select(
@@ -111,8 +124,8 @@ def running(
         *[F.sum(c).over(upto).alias(f"_l_{n}") for n, c in sums.items()],
         *[F.max(c).over(upto).alias(f"_l_{n}") for n, c in maxima.items()],
     )
-    edges = chunked.groupBy(*axis.chunk_keys).agg(
-        *[F.sum(c).alias(f"_e_{n}") for n, c in sums.items()], *[F.max(c).alias(f"_e_{n}") for n, c in maxima.items()]
+    edges = axis.summaries(
+        chunked, chunked, *[F.sum(c).alias(f"_e_{n}") for n, c in sums.items()], *[F.max(c).alias(f"_e_{n}") for n, c in maxima.items()]
     )
     edges = edges.select(
         *axis.chunk_keys,
@@ -134,14 +147,14 @@ def integrate(df: DataFrame, axis: Axis, cols: Sequence[str], step, name: str) -
     ``step`` takes two structs of ``cols``. Steps inside a chunk are summed
     there; the steps between chunks are taken from the chunks' border rows.
     """
-    chunked = axis.cut(df)
+    chunked = axis.deal(df)
     body = F.struct(*[F.col(c) for c in cols])
     keyed = F.struct(F.col(axis.order).alias("_o"), body.alias("_b"))
     before = F.lag(body).over(axis.within())
     local = chunked.withColumn("_p", before).withColumn("_s", F.when(F.col("_p").isNotNull(), step(F.col("_p"), body)))
     upto = axis.within().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = local.withColumn("_l", F.coalesce(F.sum("_s").over(upto), F.lit(0.0))).drop("_p", "_s")
-    edges = local.groupBy(*axis.chunk_keys).agg(F.sum("_s").alias("_in"), F.min(keyed).alias("_lo"), F.max(keyed).alias("_hi"))
+    edges = axis.summaries(local, chunked, F.sum("_s").alias("_in"), F.min(keyed).alias("_lo"), F.max(keyed).alias("_hi"))
     edges = edges.withColumn("_ph", F.lag("_hi").over(axis.across())).withColumn("_pi", F.lag("_in").over(axis.across()))
     jump = F.when(F.col("_ph").isNotNull(), step(F.col("_ph")["_b"], F.col("_lo")["_b"]))
     edges = edges.withColumn("_j", F.coalesce(jump, F.lit(0.0)) + F.coalesce("_pi", F.lit(0.0)))

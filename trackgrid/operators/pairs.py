@@ -93,9 +93,12 @@ def pairings(parts: dict[str, DataFrame], pairs: DataFrame) -> DataFrame:
     return pairs.select(*PAIR, "lap_a", "lap_b", "gap_s").join(parts["total"].select(*PAIR, "total_s"), list(PAIR)).join(straight, list(PAIR), "left")
 
 
-def pairings_wide(parts: dict[str, DataFrame], events: list[int]) -> DataFrame:
-    """The pairs' event deltas as one column per event."""
-    return parts["events"].groupBy(*PAIR).pivot("event_id", events).agg(F.first("delta_s"))
+def pairings_wide(parts: dict[str, DataFrame], events: list[int] | None = None) -> DataFrame:
+    """A row per pair with all its event deltas: a map from event to delta in order of the events, or a column for each listed one."""
+    if events is not None:
+        return parts["events"].groupBy(*PAIR).pivot("event_id", events).agg(F.first("delta_s"))
+    entries = F.array_sort(F.collect_list(F.struct("event_id", "delta_s")))  # a session has as many events as its trace has troughs
+    return parts["events"].groupBy(*PAIR).agg(F.map_from_entries(entries).alias("deltas"))
 
 
 def event_noise(sectors: DataFrame, summary: DataFrame, grain: str = GRAIN) -> DataFrame:

@@ -151,6 +151,43 @@ def overlay(fact: DataFrame, season: int, round_: int, session_code: str, lap_a:
     return overlay_pairs(leaf, leaf.filter(F.col("lap_id") == lap_a).select(*SESSION).distinct().withColumn("lap_a", F.lit(lap_a)).withColumn("lap_b", F.lit(lap_b)))
 
 
+def asked_laps(laps: DataFrame, asks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs of laps to lay over each other, refused asks with the reason).
+
+    ``asks``: session, ask, driver_a, driver_b and optionally lap ids lap_a, lap_b; a
+    driver asked for without a lap is shown by their default one (fastest_lap).
+    ``laps``: the lap dimension. A lap id must be one of the driver's own.
+    """
+    given = [F.col(c).cast("long") if c in asks.columns else F.lit(None).cast("long") for c in ("lap_a", "lap_b")]
+    rows = asks.select(*SESSION, "ask", "driver_a", "driver_b", given[0].alias("want_a"), given[1].alias("want_b"))
+    best = fastest_lap(laps)
+    for s in ("a", "b"):
+        default = best.select(*SESSION, F.col("code").alias(f"driver_{s}"), F.col("lap_id").alias(f"best_{s}"))
+        own = laps.select(*SESSION, F.col("code").alias(f"driver_{s}"), F.col("lap_id").alias(f"want_{s}"), F.lit(True).alias(f"own_{s}"))
+        rows = rows.join(default, [*SESSION, f"driver_{s}"], "left").join(own, [*SESSION, f"driver_{s}", f"want_{s}"], "left")
+    label = lambda s: F.col(f"driver_{s}")
+    reason = F.when(F.col("driver_a") == F.col("driver_b"), F.lit("pick two different drivers"))
+    for s in ("a", "b"):
+        reason = reason.when(F.col(f"best_{s}").isNull(), F.concat(label(s), F.lit(" has no lap in the session")))
+        reason = reason.when(F.col(f"want_{s}").isNotNull() & F.col(f"own_{s}").isNull(), F.concat(F.lit("the lap asked for is not "), label(s), F.lit("'s")))
+    rows = rows.withColumn("reason", reason)
+    lap = lambda s: F.coalesce(f"want_{s}", f"best_{s}").alias(f"lap_{s}")
+    return rows.filter("reason IS NULL").select(*SESSION, "ask", "driver_a", "driver_b", lap("a"), lap("b")), rows.filter("reason IS NOT NULL").select(*SESSION, "ask", "reason")
+
+
+def overlay_drivers(fact: DataFrame, laps: DataFrame, asks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(overlays of all asks by grid point, refused asks with the reason); laps that share no grid point are refused too."""
+    pairs, refused = asked_laps(laps, asks)
+    channels = ("t_s", "speed", "throttle", "brake", "n_gear", "drs")
+    points = fact.select(*SESSION, "lap_id", "grid_index", "distance_m", *channels)
+    side = lambda s: points.select(*SESSION, F.col("lap_id").alias(f"lap_{s}"), "grid_index", F.col("distance_m").alias(f"_d_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in channels])
+    both = pairs.join(side("a"), [*SESSION, "lap_a"]).join(side("b"), [*SESSION, "lap_b", "grid_index"])
+    shown = both.select(*SESSION, "ask", "driver_a", "driver_b", "grid_index", F.col("_d_a").alias("distance_m"), (F.col("t_s_b") - F.col("t_s_a")).alias("delta_t_s"), *[f"{c}_{s}" for c in channels[1:] for s in ("a", "b")])
+    empty = pairs.join(shown.select(*SESSION, "ask").distinct(), [*SESSION, "ask"], "left_anti")
+    none = empty.select(*SESSION, "ask", F.concat(F.lit("no shared grid points between "), "driver_a", F.lit(" and "), "driver_b").alias("reason"))
+    return shown, refused.unionByName(none)
+
+
 def overlay_pairs(fact: DataFrame, pairs: DataFrame) -> DataFrame:
     """Overlays of one pair of laps (lap_a, lap_b) per session."""
     channels = ("t_s", "speed", "throttle", "brake", "n_gear", "drs")
