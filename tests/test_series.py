@@ -208,3 +208,25 @@ def test_result_does_not_depend_on_the_number_of_partitions(spark):
         pd.testing.assert_frame_equal(*got)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def samples_moved(df) -> int:
+    """How often the final plan deals samples out by chunk."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    return sum("Exchange hashpartitioning(_piece" in line and "ReusedExchange" not in line for line in plan.splitlines())
+
+
+def test_windows_and_summaries_share_one_exchange(spark):
+    from trackgrid.functions.ordered import brackets, integrate, neighbours, running
+    from trackgrid.session import cut
+
+    df = cut(spark.createDataFrame(lap()).select(*LAP, "session_time", "distance_aligned", "speed", "throttle", "rpm", "x", "y", "n_gear", "brake", "drs"), "samples")
+    few = df.select(*LAP, "session_time", "speed")
+    assert samples_moved(neighbours(few, S.TIME, ["speed"])) == 1
+    assert samples_moved(running(few, S.TIME, {"s": F.col("speed")}, {"m": F.col("speed")})) == 1
+    assert samples_moved(integrate(few, S.TIME, ["speed"], lambda a, b: a["speed"] + b["speed"], "i")) == 1
+    assert samples_moved(brackets(few.withColumn("obs", F.struct("speed")), S.TIME, ["obs"])) == 1
+    assert samples_moved(S.resample(df)) == 1
+    car, pos = df.select(*LAP, "session_time", "speed", "throttle", "rpm", "n_gear", "brake", "drs"), df.select(*LAP, "session_time", "x", "y", F.lit(0.0).alias("z"))
+    assert samples_moved(S.merge_channels(car, pos)) == 1

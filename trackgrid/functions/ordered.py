@@ -6,9 +6,11 @@ chunks along its order column. The rows are dealt by (key, chunk) once; the
 window runs on what was dealt, and so do the summaries, one row per chunk, that
 carry what crosses a chunk border. Only the summaries are moved again.
 
-Spark computes an exchange once for two readers if both read the same columns of
-it. ``Axis.deal`` and ``Axis.summaries`` see to that: the summaries depend on a
-hash of every column, so that none is pruned from their side.
+Spark computes an exchange once for two readers if both ask for the same rows and
+columns. Two things see to that. Rows are dealt by one struct of key and chunk: a
+struct is never null, so joining the summaries to it puts no filter on one side
+alone. And the summaries depend on a hash of every column, so that none is pruned
+from their side. Callers pass the columns they need and no more.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from trackgrid.keys import LAP
 
-CHUNK = "_chunk"
+CHUNK, PIECE = "_chunk", "_piece"
 
 
 @dataclass(frozen=True)
@@ -40,16 +42,19 @@ class Axis:
         return df.withColumn(CHUNK, F.floor(F.col(self.order) / F.lit(self.span)))
 
     def deal(self, df: DataFrame) -> DataFrame:
-        """The rows by chunk: the one exchange that windows and summaries share."""
-        return (df if CHUNK in df.columns else self.cut(df)).repartition(*self.chunk_keys)
+        """The rows by chunk: the one exchange that windows and summaries share. Rows dealt before stay where they are."""
+        if PIECE in df.columns:
+            return df
+        chunked = df if CHUNK in df.columns else self.cut(df)
+        return chunked.withColumn(PIECE, F.struct(*self.chunk_keys)).drop(CHUNK).repartition(PIECE)
 
     def summaries(self, dealt: DataFrame, like: DataFrame, *aggregates: Column) -> DataFrame:
         """Aggregates per chunk of what ``deal`` returned, with the rows read as the other side reads them (see above)."""
         whole = F.min(F.xxhash64(*[F.col(c) for c in like.columns])).alias("_whole")
-        return dealt.groupBy(*self.chunk_keys).agg(*aggregates, whole).filter(F.col("_whole").isNotNull()).drop("_whole")
+        return dealt.groupBy(PIECE).agg(*aggregates, whole).filter(F.col("_whole").isNotNull()).drop("_whole").select("*", f"{PIECE}.*")
 
     def within(self):
-        return Window.partitionBy(*self.chunk_keys).orderBy(self.order)
+        return Window.partitionBy(PIECE).orderBy(self.order)
 
     def across(self):
         return Window.partitionBy(*self.keys).orderBy(CHUNK)
@@ -66,15 +71,15 @@ def neighbours(df: DataFrame, axis: Axis, cols: Sequence[str], prev: str = "prev
     )
     edges = axis.summaries(chunked, chunked, F.min(keyed).alias("_lo"), F.max(keyed).alias("_hi"))
     edges = edges.select(
-        *axis.chunk_keys,
+        PIECE,
         F.lag("_hi").over(axis.across()).getField("_b").alias("_cp"),
         F.lead("_lo").over(axis.across()).getField("_b").alias("_cn"),
     )
     return (
-        local.join(edges, list(axis.chunk_keys), "left")
+        local.join(edges, PIECE, "left")
         .withColumn(prev, F.coalesce("_p", "_cp"))
         .withColumn(nxt, F.coalesce("_n", "_cn"))
-        .drop("_p", "_n", "_cp", "_cn", CHUNK)
+        .drop("_p", "_n", "_cp", "_cn", CHUNK, PIECE)
     )
 
 
@@ -99,13 +104,13 @@ def brackets(df: DataFrame, axis: Axis, samples: Sequence[str]) -> DataFrame:
         chunked, chunked, *[F.max(seen[s]).alias(f"_hi_{s}") for s in samples], *[F.min(seen[s]).alias(f"_lo_{s}") for s in samples]
     )
     edges = edges.select(
-        *axis.chunk_keys,
+        PIECE,
         *[F.last(f"_hi_{s}", ignorenulls=True).over(before).getField("_b").alias(f"_cp_{s}") for s in samples],
         *[F.first(f"_lo_{s}", ignorenulls=True).over(after).getField("_b").alias(f"_cn_{s}") for s in samples],
     )
-    out = local.join(edges, list(axis.chunk_keys), "left")
+    out = local.join(edges, PIECE, "left")
     return out.select(
-        *df.columns,
+        *[c for c in df.columns if c not in (CHUNK, PIECE)],
         *[F.coalesce(f"_lp_{s}", f"_cp_{s}").alias(f"{s}_prev") for s in samples],
         *[F.coalesce(f"_ln_{s}", f"_cn_{s}").alias(f"{s}_next") for s in samples],
     )
@@ -128,14 +133,14 @@ def running(
         chunked, chunked, *[F.sum(c).alias(f"_e_{n}") for n, c in sums.items()], *[F.max(c).alias(f"_e_{n}") for n, c in maxima.items()]
     )
     edges = edges.select(
-        *axis.chunk_keys,
+        PIECE,
         *[F.sum(f"_e_{n}").over(before).alias(f"_c_{n}") for n in sums],
         *[F.max(f"_e_{n}").over(before).alias(f"_c_{n}") for n in maxima],
     )
-    out = local.join(edges, list(axis.chunk_keys), "left")
+    out = local.join(edges, PIECE, "left")
     zero = F.lit(0.0)
     return out.select(
-        *[c for c in df.columns if c != CHUNK],
+        *[c for c in df.columns if c not in (CHUNK, PIECE)],
         *[(F.coalesce(f"_c_{n}", zero) + F.coalesce(f"_l_{n}", zero)).alias(n) for n in sums],
         *[F.greatest(f"_c_{n}", f"_l_{n}").alias(n) for n in maxima],
     )
@@ -159,6 +164,6 @@ def integrate(df: DataFrame, axis: Axis, cols: Sequence[str], step, name: str) -
     jump = F.when(F.col("_ph").isNotNull(), step(F.col("_ph")["_b"], F.col("_lo")["_b"]))
     edges = edges.withColumn("_j", F.coalesce(jump, F.lit(0.0)) + F.coalesce("_pi", F.lit(0.0)))
     total = axis.across().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = edges.select(*axis.chunk_keys, F.sum("_j").over(total).alias("_c"))
-    out = placed.join(edges, list(axis.chunk_keys), "left")
+    edges = edges.select(PIECE, F.sum("_j").over(total).alias("_c"))
+    out = placed.join(edges, PIECE, "left")
     return out.select(*df.columns, (F.col("_c") + F.col("_l")).alias(name))

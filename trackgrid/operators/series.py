@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackgrid.functions.columns import lerp, positions_to_metres
-from trackgrid.functions.ordered import Axis, brackets, integrate, neighbours, running
+from trackgrid.functions.ordered import PIECE, Axis, brackets, integrate, neighbours, running
 from trackgrid.keys import (
     CONTINUOUS,
     DISCRETE,
@@ -66,8 +66,8 @@ def merge_channels(
     car_cols, pos_cols = [*car_linear, *car_step], list(pos_linear)
     c = car.select(*axis.keys, t, F.struct(F.col(t).alias("t"), *car_cols).alias("car"))
     p = pos.select(*axis.keys, t, F.struct(F.col(t).alias("t"), *pos_cols).alias("pos"))
-    rows = axis.cut(c.unionByName(p, allowMissingColumns=True)).repartition(*axis.chunk_keys)
-    instants = rows.groupBy(*axis.chunk_keys, t).agg(F.max("car").alias("car"), F.max("pos").alias("pos"))
+    rows = axis.deal(c.unionByName(p, allowMissingColumns=True))
+    instants = rows.groupBy(PIECE, t).agg(F.max("car").alias("car"), F.max("pos").alias("pos")).select(PIECE, *[F.col(PIECE)[k].alias(k) for k in axis.keys], t, "car", "pos")
     seen = brackets(instants, axis, ["car", "pos"])
     spans = overlap(car, pos, axis.keys, t).filter(F.col("reason").isNull()).drop("reason")
     x = F.col(t)
@@ -164,10 +164,10 @@ def last_of_each_distance(df: DataFrame, axis: Axis = DISTANCE, time: str = "ses
     On a non-decreasing axis the samples of one distance are one run, so a
     grouping by distance is the run and needs no series order.
     """
-    rows = axis.cut(df).repartition(*axis.chunk_keys)
+    rows = axis.deal(df.select(*axis.keys, axis.order, time, *cols))
     body = F.struct(time, *cols)
-    kept = rows.groupBy(*axis.chunk_keys, axis.order).agg(F.max(body).alias("_s"))
-    return kept.select(*axis.chunk_keys, axis.order, "_s.*")
+    kept = rows.groupBy(PIECE, axis.order).agg(F.max(body).alias("_s"))
+    return kept.select(PIECE, *[F.col(PIECE)[k].alias(k) for k in axis.keys], axis.order, "_s.*")
 
 
 def grid_point_count(length: Column, spacing: float = GRID_M) -> Column:
