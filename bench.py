@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from catalog import load_all  # noqa: E402
 from trackgrid.session import local_session  # noqa: E402
 
-# Stage tables are written by the first query that needs them; its time includes that.
+# Stage tables are written while the plans are built; that is a timed step of its own and part of the total.
 HEADLINE = (
     "ser10_resample",
     "ser02_linear_channels",
@@ -40,6 +40,11 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/events.parquet").count()
     registry, times = load_all(), {}
+    start = time.perf_counter()
+    for name in HEADLINE:
+        registry[name].run(spark, sf_dir)
+    times["stage_tables"] = round(time.perf_counter() - start, 3)
+    print(f"stage tables {times['stage_tables']:.2f}s", file=sys.stderr)
     for name in HEADLINE:
         start = time.perf_counter()
         registry[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()

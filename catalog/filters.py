@@ -290,9 +290,13 @@ def _(b):
 
 # ---- callables -------------------------------------------------------------
 
-@query("udf01_grouped_resample", L + "points:i", "SELECT * FROM (SELECT *, n_points AS points FROM lapn)")
+@query("udf01_grouped_resample", L + "grid_index:i elapsed_time:d speed:d y:d n_gear:i drs:i source_gap_m:d", "SELECT * FROM grid")
 def _(b):
-    return S.resample(b.tele()).groupBy(*LAP).agg(F.count(F.lit(1)).alias("points"))
+    from trackgrid.operators.grouped import resample_arrow
+    from trackgrid.session import ship
+
+    ship(b.spark)
+    return resample_arrow(b.tele())
 
 
 @query("udf02_rule_callables", SS + "rule:s count:i", f"SELECT {KS}, 'Invariant(view_samples)' AS rule, count(*) AS count FROM tele WHERE event_type = 'view' GROUP BY ALL")

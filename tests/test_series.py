@@ -210,6 +210,23 @@ def test_result_does_not_depend_on_the_number_of_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_grouped_resample_equals_the_spread_one_without_the_jvm(spark):
+    import inspect
+
+    from trackgrid.operators import grouped
+    from trackgrid.operators.grouped import resample_arrow
+
+    assert not any(name in inspect.getsource(grouped) for name in ("_jvm", "_jsc", "sparkContext", "_jdf"))
+
+    rng = np.random.default_rng(5)
+    frames = [lap(number=n, d=np.sort(rng.integers(-40, 400, 60)) * 1.0 + (n == 3) * 35.5) for n in range(1, 5)]
+    df = spark.createDataFrame(pd.concat(frames))
+    columns = [*LAP, "grid_index", "distance_m", "elapsed_time", *CH, "n_gear", "brake", "drs", "source_gap_m"]
+    want = S.resample(df).select(*columns).toPandas().sort_values([*LAP, "grid_index"]).reset_index(drop=True)
+    got = resample_arrow(df).select(*columns).toPandas().sort_values([*LAP, "grid_index"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, want, rtol=1e-12, check_dtype=False)
+
+
 def samples_moved(df) -> int:
     """How often the final plan deals samples out by chunk."""
     df.collect()

@@ -81,6 +81,29 @@ def test_stream_loads_new_files_and_replaces_late_sessions(spark, root):
     assert {r["round"]: r["count"] for r in spark.read.parquet(f"{root}/grid").groupBy("round").count().collect()} == {1: 101, 2: 202}
 
 
+def test_a_batch_reads_the_files_of_its_sessions_only(spark, root, monkeypatch):
+    import pandas as pd
+
+    from trackgrid.streaming import incremental
+
+    read, plain = [], incremental.touched_files
+    monkeypatch.setattr(incremental, "touched_files", lambda *a: read.append(plain(*a)) or read[-1])
+    rows = spark.createDataFrame(pd.concat([lap(round=r) for r in (1, 2, 3, 4)])).withColumn("snapshot_date", F.lit("2024-01-01"))
+    for r in (1, 2, 3, 4):
+        rows.filter(F.col("round") == r).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run = lambda: load_new_snapshots(spark, f"{root}/in", rows.schema, S.resample, f"{root}/grid", f"{root}/ck").awaitTermination()
+    run()
+    assert len(read[-1]) == 4
+    rows.filter("round = 2").withColumn("snapshot_date", F.lit("2024-01-02")).withColumn("speed", F.col("speed") + 1).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run()
+    assert len(read[-1]) == 1  # the dated session counts by its last snapshot alone
+    spark.createDataFrame(lap(round=3, number=9)).withColumn("snapshot_date", F.lit("2024-01-01")).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    run()
+    assert len(read) == 3 and len(read[-1]) == 2
+    got = {r["round"]: r["laps"] for r in spark.read.parquet(f"{root}/grid").groupBy("round").agg(F.countDistinct("lap_number").alias("laps")).collect()}
+    assert got == {1: 1, 2: 1, 3: 2, 4: 1}
+
+
 def test_keys_are_stable_and_unknown_laps_are_refused(spark):
     g = S.resample(spark.createDataFrame(lap()))
     laps = g.select("season", "round", "session_code", F.col("driver").alias("code"), "lap_number").distinct()
