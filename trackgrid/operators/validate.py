@@ -14,6 +14,7 @@ from trackgrid.keys import GRID_M, KMH_PER_MS, LAP, SESSION
 from trackgrid.operators.metrics import spreads
 from trackgrid.operators.series import TIME, lap_lengths, raw_distance_at, time_at_distance
 from trackgrid.operators.spatial import OFFICIAL_BAND_PCT
+from trackgrid.session import cut
 
 # Validation thresholds.
 ANCHOR_MARGIN_M = 20.0
@@ -236,12 +237,13 @@ GROUND_TRUTH = (
 
 def ground_truth(curves: DataFrame, laps: DataFrame, crossings: DataFrame, reference: DataFrame, boundaries: DataFrame, official: DataFrame, spacing: float = GRID_M) -> DataFrame:
     """One row per lap on the grid: rebuilt times, residuals and flags. ``official`` has official_m per session."""
-    positions = line_positions(crossings)
-    rebuilt = reconstruct_laps(curves, laps, positions, boundaries, start_stretch(crossings, positions), spacing)
+    # each of these tables has a row per session or lap and is read several times below
+    positions = cut(line_positions(crossings), "line-positions")
+    rebuilt = cut(reconstruct_laps(curves, laps, positions, boundaries, start_stretch(crossings, positions), spacing), "rebuilt-laps")
     table = closure_residuals(rebuilt, reference).join(crossings.drop("start_extrapolated", "end_extrapolated"), list(LAP), "left")
     table = table.join(laps.select(*LAP, "compound"), list(LAP), "left").join(official.select(*SESSION, "official_m"), list(SESSION), "left")
     table = table.withColumn("driven_pct_of_official", 100.0 * (F.col("driven_m") - F.col("official_m")) / F.col("official_m"))
-    return flag_laps(table).select(*LAP, *GROUND_TRUTH)
+    return flag_laps(cut(table, "residuals")).select(*LAP, *GROUND_TRUTH)
 
 
 def residual_spread(truth: DataFrame) -> DataFrame:
