@@ -36,7 +36,8 @@ from trackgrid.session import cut
 SEED = 42
 LARGEST = 2048
 ROUNDS = 5
-SAMPLE = 5_000  # documents that tell which shingles are common
+SAMPLE = 5_000  # documents, at least, that tell which shingles are common
+EVERY = 8  # or one document in so many, if that is more
 MOST_COMMON = 200_000  # common shingles that are named
 BLOCK = 4_096  # texts of a crowd that meet in one task
 MOST_BROADCAST = 500_000  # rows of three longs
@@ -282,7 +283,7 @@ def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
             for part in one_row_batches([batch]):
                 yield from pa.table({"shingle": pa.array(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column(0), n)]).view(np.int64))}).to_batches()
 
-    every = max(1, docs.count() // SAMPLE)
+    every = max(1, min(EVERY, docs.count() // SAMPLE))
     text = F.col("text").cast("string").alias("text")
     some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select(text).mapInArrow(run, "shingle long")
     rows = some.groupBy("shingle").count().filter("count > 1").orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).toArrow()
@@ -367,8 +368,11 @@ def possible(size: np.ndarray, at: np.ndarray, other_size: np.ndarray, other_at:
 def cross_pairs(rows: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of each crowd that lie in different components, without those of its hub, which were compared before.
 
-    A crowd beyond ``BLOCK`` is dealt in blocks; any two blocks meet in a task.
+    ``odd`` holds a set's parities folded to 512 parts; pairs whose parities
+    already differ in too many are not emitted. A crowd beyond ``BLOCK`` is dealt
+    in blocks; any two blocks meet in a task.
     """
+    apart = (1 - similarity) / (1 + similarity)
 
     def solve(v: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         n, mixed = len(v["whole"]), v["lo"][0] != v["hi"][0]
@@ -381,30 +385,47 @@ def cross_pairs(rows: DataFrame, similarity: float) -> DataFrame:
             i, j = np.nonzero(ok)
             i += x
             ok = possible(v["size"][i], v["at"][i], v["size"][j], v["at"][j], similarity)
-            yield pa.RecordBatch.from_arrays([pa.array(v["whole"][i[ok]]), pa.array(v["whole"][j[ok]])], names=["a", "b"])
+            i, j = i[ok], j[ok]
+            for y in range(0, len(i), 1 << 16):
+                p, q = i[y : y + (1 << 16)], j[y : y + (1 << 16)]
+                ok = np.bitwise_count(v["odd"][p] ^ v["odd"][q]).sum(1) <= apart * (v["size"][p] + v["size"][q]) + 1e-6
+                if ok.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(v["whole"][p[ok]]), pa.array(v["whole"][q[ok]])], names=["a", "b"])
 
     names = ["shingle", "lo", "hi", "block", "hub", "whole", "root", "size", "at"]
 
+    def read(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        found = {k: batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i, k in enumerate(names)}
+        return found | {"odd": np.frombuffer(b"".join(batch.column(len(names)).to_pylist()), np.uint64).reshape(-1, 8)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            new = {k: batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i, k in enumerate(names)}
-            held = {k: np.concatenate([held[k], new[k]]) for k in names} if held else new
+            new = read(batch)
+            held = {k: np.concatenate([held[k], new[k]]) for k in new} if held else new
             change = np.any([held[k][1:] != held[k][:-1] for k in names[:3]], axis=0)
             ends = np.concatenate([[0], np.flatnonzero(change) + 1]).astype(int)
             for a, b in zip(ends.tolist(), ends[1:].tolist()):
                 if b - a > 1:
-                    yield from solve({k: held[k][a:b] for k in names})
-            held = {k: held[k][ends[-1] :] for k in names}
+                    yield from solve({k: v[a:b] for k, v in held.items()})
+            held = {k: v[ends[-1] :] for k, v in held.items()}
         if held and len(held["whole"]) > 1:
             yield from solve(held)
 
     blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("whole"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("*", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).select(*names)
+    dealt = dealt.select("*", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")).select(*names, "odd")
     return dealt.repartition("shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
+def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(whole, root, odd) with the parities of 1,024 parts folded to 512: those of two parts together are the exclusive or."""
+    for batch in batches:
+        bits = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, 2, 8)
+        odd = [x.tobytes() for x in bits[:, 0] ^ bits[:, 1]]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(odd, pa.binary())], names=["whole", "root", "odd"])
+
+
 def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
 
@@ -435,8 +456,10 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     pairs = pairs.filter(F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6)
     near = cut(alike_pairs(cut(pairs.select("a", "b"), "near-pairs"), reps, named, n, similarity), "near-links")
     joined = components(near).withColumnRenamed("node", "whole")
-    rooted = crowds.join(joined, "whole", "left").withColumn("root", F.coalesce("root", "whole"))
-    more = cut(cross_pairs(rooted, similarity), "near-pairs")
+    # a crowd of two was compared with its hub already
+    roots = reps.join(joined, "whole", "left").select("whole", F.coalesce("root", "whole").alias("root"), "odd")
+    roots = cut(roots.mapInArrow(folded, "whole long, root long, odd binary"), "near-folded")
+    more = cut(cross_pairs(crowds.filter("crowd > 2").join(roots, "whole"), similarity), "near-pairs")
     near = near.unionByName(alike_pairs(more, reps, named, n, similarity))
 
     joined = components(near).withColumnRenamed("node", "whole")
