@@ -26,17 +26,13 @@ proportion to their sizes; an empty table gives an empty mix.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from trackgrid.llm.words import Spans
 from trackgrid.session import cut
 
 MOST_SOURCES = 100_000
@@ -98,15 +94,10 @@ class Plan:
     draws: list[tuple] = field(default_factory=list)  # (ordinal, block, [(epoch, shard, cut hash or null, words before, words at it, words left)])
 
 
-def with_size(df: DataFrame, name: str) -> DataFrame:
-    """The rows with the word count of ``text`` in a new column."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.append_column(name, pa.array(Spans(batch.column(at)).counts().astype(np.int64)))
-
-    at = df.columns.index("text")
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
+def words_in(text: str) -> Column:
+    """The number of words, counted where the rows are: each word becomes one letter, then the blanks go."""
+    letters = F.regexp_replace(F.col(text).cast("string"), "[^ \\t-\\r]++", "w")
+    return F.coalesce(F.length(F.translate(letters, " \t\n\x0b\x0c\r", "")), F.lit(0)).cast("long")
 
 
 def place(seed: int, size: str) -> Column:
@@ -120,7 +111,7 @@ def block_of(h: str, n: str) -> Column:
 
 def sized(docs: DataFrame, mix: Mix) -> DataFrame:
     """The narrow table all decisions are made on: doc_id, source, size, place."""
-    rows = with_size(docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")), "__size").drop("text")
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), words_in("text").alias("__size"))
     return cut(rows.withColumn("__place", place(mix.seed, "__size")), "mix-sizes")
 
 
@@ -215,7 +206,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """
     names = docs.columns
     found = plan(sized(docs, mix), mix)
-    rows = with_size(docs, "__size").withColumn("__place", place(mix.seed, "__size"))
+    rows = docs.withColumn("__size", words_in("text")).withColumn("__place", place(mix.seed, "__size"))
     rows = drawn(rows, found, "__size", "__place").withColumn("__draw", F.explode("__draws"))
     first = F.array_join(F.slice(F.filter(F.split("text", "[ \\t-\\r]+"), lambda w: w != ""), 1, F.col("__draw.words").cast("int")), " ")
     rows = rows.withColumn("text", F.when(F.col("__draw.words") < F.col("__size"), first).otherwise(F.col("text")))
