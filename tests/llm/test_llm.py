@@ -410,6 +410,27 @@ def test_near_dedup_finds_each_kind_of_edit(spark):
     assert near_kept(spark, rows) == want and len(want) < len(rows) / 2
 
 
+def test_near_dedup_starts_from_linked_fingerprints(spark, rows, monkeypatch):
+    few = sorted({(i, t) for i, t, *_ in rows if i is not None}, key=repr)
+    seen, links = [], simhash.fingerprint_pairs
+    monkeypatch.setattr(simhash, "fingerprint_pairs", lambda reps, radius: seen.append((reps.select("whole", "fp").collect(), links(reps, radius).collect())) or links(reps, radius))
+    near_kept(spark, few)
+    (reps, pairs), = seen
+    part = {r["whole"]: r["whole"] for r in reps}
+
+    def find(a):
+        while part[a] != a:
+            a = part[a]
+        return a
+
+    for a, b in pairs:
+        part[find(a)] = find(b)
+    assert {r["fp"] % (1 << 64) for r in reps} <= {brute_fingerprint(t, 4) for _, t in few}
+    for x, a in enumerate(reps):
+        for b in reps[:x]:
+            assert ((a["fp"] ^ b["fp"]) % (1 << 64)).bit_count() > 4 or find(a["whole"]) == find(b["whole"])
+
+
 def test_near_dedup_checks_all_pairs_of_a_crowd(spark, monkeypatch):
     rng = random.Random(12)
     new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
@@ -593,6 +614,22 @@ def test_windows_score_each_id_once():
 # -- all
 
 
+def test_language_model_learns_from_every_training_window():
+    s = lm.Shape()
+    rng = np.random.default_rng(9)
+    length = rng.integers(2, 200, 40)
+    first = np.concatenate([[0], np.cumsum(length)])
+    stream = rng.integers(0, s.ids, first[-1]).astype(np.int32)
+    payload = lm.packed(np.arange(40), stream, first, s)
+    got = [w for part in lm.taught_windows(payload, s, 7) for w in part.tolist()]
+    start, lo, hi, *_ = lm.windows(first, s)
+    want = [[int(stream[k]) if a <= k <= b else -1 for k in range(x, x + s.window + 1)] for x, a, b in zip(start.tolist(), lo.tolist(), hi.tolist(), strict=True)]
+    assert sorted(got) == sorted(want)
+    # every id but a document's first is predicted once
+    assert sum(1 for w in got for k in range(s.before, s.window) if w[k] >= 0 and w[k + 1] >= 0) == len(stream) - 40
+    assert not list(lm.taught_windows(lm.packed(np.zeros(0, np.int64), stream[:0], np.zeros(1, np.int64), s), s, 7))
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_query_equals_its_sql(spark, sf, name):
     con = duckdb.connect()

@@ -17,7 +17,8 @@ Defined results: a text without words has fingerprint zero; a text shorter than
 a shingle is one shingle; a null doc_id links but names no component; repeated
 rows share a fingerprint; an empty table gives no rows.
 
-Near-duplicates (``keep_one``) do not come from fingerprints, see there.
+Near-duplicates (``keep_one``) start from these links, which are checked, and add
+what fingerprints cannot see, see there.
 """
 
 from __future__ import annotations
@@ -292,8 +293,17 @@ def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     return found[order], times[order]
 
 
-def prefixes(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """doc_id, mark, whole (a hash of the set of shingles), size, parity and the set's prefix, rare shingles first."""
+def fingerprint_pairs(reps: DataFrame, radius: int) -> DataFrame:
+    """Distinct pairs (a, b) of sets that connect all whose fingerprints are equal or within the radius, directly or over others."""
+    classes = cut(reps.groupBy("fp").agg(F.min("whole").alias("least")), "near-prints")
+    same = reps.join(classes, "fp").filter("whole <> least").select(F.col("least").alias("a"), F.col("whole").alias("b"))
+    side = lambda k: classes.select(F.col("fp").alias(k), F.col("least").alias(f"{k}_least"))
+    near = links(classes, radius).join(side("a"), "a").join(side("b"), "b").select(F.col("a_least").alias("a"), F.col("b_least").alias("b"))
+    return same.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def prefixes(docs: DataFrame, n: int, similarity: float, print_words: int = 4) -> DataFrame:
+    """doc_id, mark, whole (a hash of the set of shingles), size, parity, the set's prefix, rare shingles first, and the fingerprint of ``print_words``-word shingles."""
     kind = dict(docs.dtypes)["doc_id"]
     common, times = common_shingles(docs, n)
 
@@ -306,15 +316,18 @@ def prefixes(docs: DataFrame, n: int, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches):
             sets = shingle_sets(batch.column(1), n)
+            spans = Spans(batch.column(1))
+            words, first = spans.words(lower=True), spans.first.tolist()
+            fps = np.array([fingerprint(words[a:b], print_words) for a, b in zip(first, first[1:])], np.uint64).view(np.int64)
             whole = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             heads = [prefix(s) for s in sets]
             ends = np.cumsum([0, *map(len, heads)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *heads]).view(np.int64)))
             sizes, odd = pa.array([len(s) for s in sets], pa.int32()), pa.array([parity(s) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(whole), sizes, odd, lists], names=["doc_id", "mark", "whole", "size", "odd", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(whole), sizes, odd, lists, pa.array(fps)], names=["doc_id", "mark", "whole", "size", "odd", "prefix", "fp"])
 
     text = F.col("text").cast("string")
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, whole long, size int, odd binary, prefix array<long>")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, whole long, size int, odd binary, prefix array<long>, fp long")
 
 
 def small(ids: DataFrame) -> DataFrame:
@@ -426,7 +439,7 @@ def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(odd, pa.binary())], names=["whole", "root", "odd"])
 
 
-def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int = 4) -> DataFrame:
     """The documents without those that a smaller doc_id of their group of near-duplicates stands for.
 
     A group is connected by pairs whose sets of n-word shingles are alike by
@@ -435,14 +448,16 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     first ``size - needed + 1`` of each. Shingles that a sample finds common come last,
     which makes few sets meet; it has no part in the result.
 
-    Sets that meet in a shingle are a crowd. Each is compared with its crowd's
+    Candidates are first the links of the SimHash fingerprints within ``radius`` bits,
+    as in ``grouped``, each checked by the whole sets. Then sets that the
+    fingerprints did not link meet in a shingle and are a crowd. Each is compared with its crowd's
     least, its hub; then all pairs of a crowd that are not yet connected are
     compared. Equal sets are one from the start. Rows without a doc_id stay, because
     nothing can name them, and rows that repeat a doc_id and text stay together.
     """
     named = docs.filter(F.col("doc_id").isNotNull())
     held = cut(prefixes(named, n, similarity), "near-prefixes")
-    reps = held.groupBy("whole").agg(F.min(F.struct("doc_id", "mark", "size", "odd")).alias("r"))
+    reps = held.groupBy("whole").agg(F.min(F.struct("doc_id", "mark", "size", "odd", "fp")).alias("r"))
     reps = cut(reps.select("whole", "r.*"), "near-classes")
     rows = held.select("whole", "size", F.posexplode("prefix").alias("at", "shingle"))
     own = Window.partitionBy("shingle")
@@ -454,7 +469,9 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8) -> DataFrame:
     pairs = crowds.filter("hub < whole").select(F.col("hub").alias("a"), F.col("whole").alias("b"), F.col("size").alias("b_size")).distinct()
     pairs = pairs.join(sizes.select(F.col("whole").alias("a"), F.col("size").alias("a_size")), "a")
     pairs = pairs.filter(F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6)
-    near = cut(alike_pairs(cut(pairs.select("a", "b"), "near-pairs"), reps, named, n, similarity), "near-links")
+    linked = cut(fingerprint_pairs(reps, radius), "near-linked")
+    pairs = linked.unionByName(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    near = cut(alike_pairs(cut(pairs, "near-pairs"), reps, named, n, similarity), "near-links")
     joined = components(near).withColumnRenamed("node", "whole")
     # a crowd of two was compared with its hub already
     roots = reps.join(joined, "whole", "left").select("whole", F.coalesce("root", "whole").alias("root"), "odd")
