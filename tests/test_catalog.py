@@ -3,8 +3,10 @@
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from catalog import load_all
+from catalog import load_all, warehouse
+from trackgrid.keys import LAP
 
 QUERIES = load_all()
 CHECKED = (
@@ -41,3 +43,18 @@ def test_query_equals_its_sql(spark, sf, duck, name):
 
 def test_flagship_runs(spark, sf):
     assert QUERIES["flagship_overlay"].run(spark, sf).count() > 0
+
+
+def test_load_audit_lists_every_table_that_was_loaded(spark, tmp_path, monkeypatch):
+    """Four drivers with samples of their own: a row per session and table, not of the laps alone."""
+    samples = spark.range(400).select(
+        F.col("id").alias("event_id"), (F.lit(1704067200) + F.col("id") * 6400).cast("timestamp").cast("timestamp_ntz").alias("ts"), (F.col("id") % 4 * 5).alias("user_id"), F.lit("view").alias("event_type"),
+        (F.col("id") % 7).cast("double").alias("value"), F.concat(F.lit('{"k": '), (F.col("id") * 7 % 100).cast("string"), F.lit("}")).alias("props"),
+    )
+    samples.write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("fact_grid", "fact_micro", "dim_lap"):
+        monkeypatch.setattr(warehouse, name, lambda b: b.tele().select(*LAP, "speed"))
+    got = QUERIES["snk08_load_audit"].run(spark, str(tmp_path)).toPandas()
+    loaded = {"laps", "fact_telemetry_grid", "fact_microsector", "dim_lap"}
+    assert set(got.table) == loaded and len(got) == len(loaded) * len(got[["season", "round", "session_code"]].drop_duplicates())
+    assert got.quality_ok.all() and got[got.table == "fact_telemetry_grid"].rows.sum() == 400
