@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from trackgrid.llm import ann, exact, langid, lm, mix, pack, queries, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
+from trackgrid.llm.words import release, tidy
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -665,3 +666,21 @@ def test_pipeline_against_brute_force(spark, sf, docs, none):
         for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
             frame = spark.createDataFrame(stage(spark, frame, sf).collect() or [], stage(spark, frame, sf).schema) if k < 4 else stage(spark, frame, sf)
         assert frame.count() >= 0
+
+
+def test_worker_gives_memory_back_after_a_task():
+    def held() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Anonymous:"))
+
+    last = []
+
+    def run(batches):
+        blocks = [bytearray(20_000) for _ in range(10_000)]
+        last.append(blocks[-1])  # what lies below the last block is not the top of the heap
+        yield from batches
+
+    release()
+    before = held()
+    assert list(tidy(run)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 50_000  # of 200,000 KB

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trackgrid.llm.words import Numbers, one_row_batches
+from trackgrid.llm.words import Numbers, one_row_batches, tidy
 from trackgrid.session import cut
 
 MOST_LANGUAGES = 256
@@ -210,6 +210,7 @@ def taught_words(docs: DataFrame, taught: Column, sample: int) -> tuple[list[str
     first = thin.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "id"))).filter(F.col("rank") <= sample)
     number = {k: i for i, k in enumerate(languages)}
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches):
             found: Counter = Counter()
@@ -231,6 +232,7 @@ def fit(docs: DataFrame, model_path: str, taught: Column, sample: int = 1500, ro
     p = np.full((size, max(1, len(languages))), 1.0 / size)
 
     def pass_over(p: np.ndarray) -> np.ndarray:
+        @tidy
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(p.shape)
             for batch in batches:
@@ -261,6 +263,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     at = docs.columns.index("text")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches, 1 << 20):
             texts = batch.column(at).to_pylist()

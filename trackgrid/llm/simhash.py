@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackgrid.llm.words import Spans, one_row_batches
+from trackgrid.llm.words import Spans, one_row_batches, tidy
 from trackgrid.session import cut
 
 SEED = 42
@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, n: int) -> DataFrame:
     """doc_id, mark (a hash of the text as it stands) and fp, the fingerprint as a signed long."""
     kind = dict(docs.dtypes)["doc_id"]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches):
             spans = Spans(batch.column(1))
@@ -121,6 +122,7 @@ def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 def bucket_links(rows: DataFrame, radius: int, last: bool) -> DataFrame:
     """From (path, key, fp): links (path -1, a, b) and rows of too large buckets (path, fp, fp)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # arrays of the run that may go on in the next batch
         large = None  # the run that is handed on
@@ -279,6 +281,7 @@ def parity(s: np.ndarray) -> bytes:
 def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that several documents of a sample have, and in how many; the order of shingles follows them, no result does."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in one_row_batches([batch]):
@@ -313,6 +316,7 @@ def prefixes(docs: DataFrame, n: int, similarity: float, print_words: int = 4) -
             s = s[np.argsort(np.where(common[at] == s, times[at], 0), kind="stable")]
         return s[: len(s) - needed(len(s), similarity) + 1]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches):
             sets = shingle_sets(batch.column(1), n)
@@ -342,6 +346,7 @@ def alike_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, simi
     pairs that are not alike go before any set is read.
     """
 
+    @tidy
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, 16) for i in (2, 3)]
@@ -349,11 +354,13 @@ def alike_pairs(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, simi
             ok = np.bitwise_count(bits[0] ^ bits[1]).sum(1) <= (1 - similarity) / (1 + similarity) * size + 1e-6
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
+    @tidy
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches):
             found = [s.tobytes() for s in shingle_sets(batch.column(1), n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["whole", "shingles"])
 
+    @tidy
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in one_row_batches(batches, 32 << 20):
             ok = [jaccard(x, y) >= similarity for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
@@ -411,6 +418,7 @@ def cross_pairs(rows: DataFrame, similarity: float) -> DataFrame:
         found = {k: batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i, k in enumerate(names)}
         return found | {"odd": np.frombuffer(b"".join(batch.column(len(names)).to_pylist()), np.uint64).reshape(-1, 8)}
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -431,6 +439,7 @@ def cross_pairs(rows: DataFrame, similarity: float) -> DataFrame:
     return dealt.repartition("shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi").mapInArrow(run, "a long, b long").distinct()
 
 
+@tidy
 def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(whole, root, odd) with the parities of 1,024 parts folded to 512: those of two parts together are the exclusive or."""
     for batch in batches:
