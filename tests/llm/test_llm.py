@@ -684,3 +684,10 @@ def test_worker_gives_memory_back_after_a_task():
     before = held()
     assert list(tidy(run)(iter([1, 2]))) == [1, 2]
     assert held() - before < 50_000  # of 200,000 KB
+
+
+def test_coders_are_dropped():
+    one = pack.bpe(*PIECES)
+    pack.forget()
+    two = pack.bpe(*PIECES)
+    assert one is not two and two.encode(["a b"])[0].tolist() == one.encode(["a b"])[0].tolist()
