@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from trackgrid.llm import ann, exact, langid, lm, mix, pack, queries, simhash, substring, toxicity, urls
 from trackgrid.llm.ship import ship
-from trackgrid.llm.words import release, tidy
+from trackgrid.llm.words import forget, release, tidy
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -393,6 +393,13 @@ def near_kept(spark, rows):
     return {(r["doc_id"], r["text"]) for r in simhash.keep_one(frame).collect()}
 
 
+def test_shingles_of_all_documents_are_counted(spark):
+    n = 12_000  # more than any sample of them
+    frame = ship(spark).range(n, numPartitions=4).select("id", F.concat(F.lit("a b c d e x"), "id").alias("text")).withColumnRenamed("id", "doc_id")
+    counts = simhash.common_shingles(frame, 5)
+    assert counts.sum() == 2 * n and n <= counts.max() < n + 100
+
+
 def test_near_dedup_finds_each_kind_of_edit(spark):
     rng = random.Random(11)
     new = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
@@ -686,6 +693,15 @@ def test_worker_gives_memory_back_after_a_task():
     assert held() - before < 50_000  # of 200,000 KB
 
 
+def test_what_other_stages_hold_is_dropped():
+    one = pack.bpe(*PIECES)
+    langid._SCORERS["x"] = None
+    langid.alone()
+    assert not pack._BPE and langid._SCORERS == {"x": None}
+    forget()
+    assert not langid._SCORERS and pack.bpe(*PIECES) is not one
+
+
 def test_coders_are_dropped():
     one = pack.bpe(*PIECES)
     pack.forget()

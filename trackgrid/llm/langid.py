@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trackgrid.llm.words import Numbers, one_row_batches, tidy
+from trackgrid.llm.words import CACHES, Numbers, forget, one_row_batches, tidy
 from trackgrid.session import cut
 
 MOST_LANGUAGES = 256
@@ -186,6 +186,7 @@ class Scorer:
 
 
 _SCORERS: dict[str, Scorer] = {}
+CACHES.append(_SCORERS)
 
 
 def scorer(model: Model) -> Scorer:
@@ -195,6 +196,11 @@ def scorer(model: Model) -> Scorer:
     return _SCORERS[model.key]
 
 
+def alone() -> None:
+    """Drop what other stages keep in this worker."""
+    forget(_SCORERS)
+
+
 def taught_words(docs: DataFrame, taught: Column, sample: int) -> tuple[list[str], DataFrame]:
     """The labels, and a written table (language, word, n) of the sample."""
     rows = docs.filter(taught & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("string").alias("id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
@@ -265,6 +271,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone()
         for batch in one_row_batches(batches, 1 << 20):
             texts = batch.column(at).to_pylist()
             if model.languages:

@@ -31,15 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackgrid.llm.words import Spans, one_row_batches, tidy
+from trackgrid.llm.words import Spans, forget, one_row_batches, tidy
 from trackgrid.session import cut
 
 SEED = 42
 LARGEST = 2048
 ROUNDS = 5
-SAMPLE = 5_000  # documents, at least, that tell which shingles are common
-EVERY = 8  # or one document in so many, if that is more
-MOST_COMMON = 200_000  # common shingles that are named
+CELLS = 22  # bits of the hash range, at most, by which all documents' shingles are counted
+RANGE = 1 << 12  # cells that are summed together
 BLOCK = 4_096  # texts of a crowd that meet in one task
 MOST_BROADCAST = 500_000  # rows of three longs
 
@@ -278,22 +277,44 @@ def parity(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & np.uint64(1023)).astype(np.int64), minlength=1024) & 1).tobytes()
 
 
-def common_shingles(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that several documents of a sample have, and in how many; the order of shingles follows them, no result does."""
+def cell(s: np.ndarray, bits: int) -> np.ndarray:
+    return (s >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def common_shingles(docs: DataFrame, n: int) -> np.ndarray:
+    """How many documents have a shingle in each cell of the hash range, of all shingles of all documents.
+
+    The order of shingles follows these counts, no result does; so shingles may share a cell, and memory does not grow with the input.
+    """
+    bits = min(CELLS, max(12, (64 * docs.count()).bit_length()))
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        total = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for part in one_row_batches([batch]):
-                yield from pa.table({"shingle": pa.array(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column(0), n)]).view(np.int64))}).to_batches()
+                np.add.at(total, cell(np.concatenate([np.zeros(0, np.uint64), *shingle_sets(part.column(0), n)]), bits), 1)
+        for at in np.flatnonzero(total.reshape(-1, RANGE).any(1)).tolist():
+            yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int32()), "counts": pa.array([total[at * RANGE : (at + 1) * RANGE].tobytes()], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(RANGE, np.int64)
+        for counts in table.column("counts").to_pylist():
+            total += np.frombuffer(counts, np.uint32)
+        return pa.table({"at": table.column("at")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+
+    schema, text = "at int, counts binary", F.col("text").cast("string").alias("text")
+    rows = docs.select(text).mapInArrow(run, schema).groupBy("at").applyInArrow(add, schema).toArrow()  # a row per range
+    found = np.zeros((1 << bits) // RANGE * RANGE, np.int64).reshape(-1, RANGE)
+    for at, counts in zip(rows["at"].to_pylist(), rows["counts"], strict=True):
+        found[at] = np.frombuffer(counts.as_py(), np.int64)
+    return found.ravel()
+
 
-    every = max(1, min(EVERY, docs.count() // SAMPLE))
-    text = F.col("text").cast("string").alias("text")
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select(text).mapInArrow(run, "shingle long")
-    rows = some.groupBy("shingle").count().filter("count > 1").orderBy(F.desc("count"), "shingle").limit(MOST_COMMON).toArrow()
-    found, times = rows["shingle"].to_numpy().view(np.uint64), rows["count"].to_numpy()
-    order = np.argsort(found)
-    return found[order], times[order]
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Counts in steps of an eighth of a power of two, a byte each, as every task holds them."""
+    return np.minimum(np.log2(counts + 1.0) * 8, 255).astype(np.uint8)
 
 
 def fingerprint_pairs(reps: DataFrame, radius: int) -> DataFrame:
@@ -308,16 +329,16 @@ def fingerprint_pairs(reps: DataFrame, radius: int) -> DataFrame:
 def prefixes(docs: DataFrame, n: int, similarity: float, print_words: int = 4) -> DataFrame:
     """doc_id, mark, whole (a hash of the set of shingles), size, parity, the set's prefix, rare shingles first, and the fingerprint of ``print_words``-word shingles."""
     kind = dict(docs.dtypes)["doc_id"]
-    common, times = common_shingles(docs, n)
+    common = levels(common_shingles(docs, n))
+    bits = len(common).bit_length() - 1
 
     def prefix(s: np.ndarray) -> np.ndarray:
-        if len(common) and len(s):
-            at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-            s = s[np.argsort(np.where(common[at] == s, times[at], 0), kind="stable")]
+        s = s[np.argsort(common[cell(s, bits)], kind="stable")]
         return s[: len(s) - needed(len(s), similarity) + 1]
 
     @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in one_row_batches(batches):
             sets = shingle_sets(batch.column(1), n)
             spans = Spans(batch.column(1))
@@ -454,7 +475,7 @@ def keep_one(docs: DataFrame, n: int = 5, similarity: float = 0.8, radius: int =
     A group is connected by pairs whose sets of n-word shingles are alike by
     ``similarity`` (Jaccard of all shingles). No such pair is missed: in any
     order of all shingles, two alike sets have a shingle in common among the
-    first ``size - needed + 1`` of each. Shingles that a sample finds common come last,
+    first ``size - needed + 1`` of each. Shingles that are common among all documents come last,
     which makes few sets meet; it has no part in the result.
 
     Candidates are first the links of the SimHash fingerprints within ``radius`` bits,
