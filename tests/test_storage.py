@@ -1,5 +1,6 @@
 import os
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from trackgrid import schemas as D
 from trackgrid.operators import series as S
 from trackgrid.plans import warehouse as W
-from trackgrid.session import cut
+from trackgrid.session import CLEANUP, cut
 from trackgrid.sources import landing as I
 from trackgrid.sources import tables as T
 from trackgrid.streaming.incremental import load_new_snapshots
@@ -50,6 +51,23 @@ def test_pages_must_be_complete(spark):
         I.merge_pages(df(page("a", "0", 0)), "items").collect()
 
 
+def shuffle_files(spark) -> set:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, root):
+    df = spark.range(1000).groupBy((F.col("id") % 10).alias("round")).agg(F.count(F.lit(1)).alias("n")).withColumns({"season": F.lit(2024), "session_code": F.lit("Q")})
+    before = shuffle_files(spark)
+    kept = cut(df, "swept")
+    T.write_sessions(kept, f"{root}/t")
+    until = time.monotonic() + 20  # they go in the background
+    while (left := shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left and kept.count() == spark.read.parquet(f"{root}/t").count() == 10
+    assert not spark.conf.get(CLEANUP, None) == "true"
+
+
 def test_a_reload_replaces_only_its_own_session(spark, root):
     import pandas as pd
 
